@@ -121,3 +121,64 @@ def plan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         hours.alias("credit_hours"),
     )
     return courses.unionByName(heads)
+
+
+def plan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One plan document per order, with every kind of row a plan grid has."""
+    o = facts(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    text = "string"
+
+    def course(letters: str, number: Column) -> Column:
+        code = F.concat(F.lit(f"{letters} "), number.cast(text))
+        link = F.concat(F.lit('<a href="/search/?x=1&amp;P='), F.replace(code, F.lit(" "), F.lit("%20")), F.lit('">'), code, F.lit("</a>"))
+        return link
+
+    def row(*parts: str | Column) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    low = (key % 4 + 1).cast(text)
+    orphan = F.when(
+        key % 3 == 0,
+        row('<tr class="plangridterm"><th>Spring</th></tr><tr><td><div class="blockindent">', course("phys", cust % 300 + 200),
+            "</div></td><td>Late&nbsp; option</td><td></td></tr>"),
+    ).otherwise("")
+    html = row(
+        '<html><body><!-- <table class="sc_plangrid"><tr><td>x</td><td>y</td><td>1</td></tr></table> -->',
+        '<table class="sc_plangrid table"><tr class="plangridyear"><th>Year ', F.year("o_orderdate").cast(text),
+        '</th></tr><tr class="plangridterm"><th>Fall</th></tr>',
+        '<tr class="even"><td class="codecol">', course("MATH", cust % 400 + 100), "</td><td>",
+        F.replace(F.col("o_orderpriority"), F.lit("-"), F.lit("&amp;")), "<sup>1</sup><sup>2</sup></td><td>", low, "</td></tr>",
+        '<tr><td colspan="2">Select one of the following:</td><td></td><td>', low, "-", (key % 4 + 3).cast(text), "</td></tr>",
+        '<tr class="odd"><td><div class="blockindent">', course("ENGL", cust % 300 + 200), "</div></td><td>Essay</td><td></td></tr>",
+        '<tr><td><div class="blockindent">or by advice</div></td><td>Other</td><td></td></tr>',
+        orphan,
+        "<tr><td>Science elective<sup>3</sup></td><td>3</td></tr>",
+        '<tr class="plangridsum"><td></td><td>Semester Credit Hours</td><td>', (key % 5 + 12).cast(text), "</td></tr>",
+        '<tr class="plangridtotal"><td></td><td>Total Semester Credit Hours</td><td>120</td></tr></table>',
+        '<dl class="sc_footnotes"><dt>1</dt><dd>Grade of <b>C</b> or better.</dd><dt></dt><dd>void</dd>',
+        "<dt>2</dt><dd>old</dd><dt>2</dt><dd>Order ", key.cast(text), " &#8211; see adviser</dd><dt>9</dt></dl></body></html>",
+    )
+    return o.select(F.concat(F.lit("P"), key.cast(text)).alias("major"), html.alias("html"))
+
+
+def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracted tables with blank outer columns, one table per ship month and line number."""
+    rows = facts(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"])
+    line, text = F.col("l_linenumber"), "string"
+    cells = F.array(
+        F.when(line % 2 == 0, "").otherwise(F.lit(" ")),
+        F.when(line % 3 == 0, F.lit("  ")).otherwise(F.col("l_returnflag")),
+        F.col("l_partkey").cast(text),
+        F.when(F.col("l_quantity") < 10, "").otherwise(F.col("l_quantity").cast("int").cast(text)),
+        F.when(line == 7, F.col("l_returnflag")).otherwise(""),
+        F.lit(" "),
+    )
+    blank = F.transform(cells, lambda c: F.lit(" "))
+    return rows.select(
+        F.concat(F.lit("grd_"), F.year("l_shipdate").cast(text), F.lit("_1_EN.pdf")).alias("source_file"),
+        line.alias("table_idx"),
+        F.col("l_orderkey").cast("int").alias("row_idx"),
+        # One table of the file is blank throughout.
+        F.when(line == 5, blank).otherwise(cells).alias("cells"),
+    )

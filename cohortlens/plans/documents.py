@@ -188,3 +188,13 @@ def footnote_maps(pages: DataFrame) -> DataFrame:
 
 def footnotes_to_rows(maps: DataFrame) -> DataFrame:
     return maps.select("major", F.explode("footnotes").alias("footnote_num", "footnote_text"))
+
+
+def plan_counts(plan: DataFrame) -> DataFrame:
+    """Number of plan rows and of majors."""
+    return plan.agg(F.count("*").alias("n_rows"), F.countDistinct("major").alias("n_majors"))
+
+
+def preview(plan: DataFrame, n: int = 30) -> DataFrame:
+    """The first rows in document order."""
+    return plan.orderBy("major", "row_order").limit(n)
