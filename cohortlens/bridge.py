@@ -20,14 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def facts(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Columns of a fact table, dealt out to all cores if it has fewer splits than cores.
+def facts(spark: SparkSession, sf_dir: str, name: str, columns: list[str], key: list[str]) -> DataFrame:
+    """Columns of a fact table, dealt out to all cores by `key` if it has fewer splits than cores.
 
     A table in many files passes through unchanged.
     """
     df = table(spark, sf_dir, name).select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
 
 
 def _int(c: Column) -> Column:
@@ -48,7 +48,7 @@ def raw_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = facts(spark, sf_dir, "lineitem", [
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate",
-    ])
+    ], ["l_partkey", "l_suppkey"])
     rows = rows.join(part, "l_partkey").join(supplier, "l_suppkey")
 
     line, key = F.col("l_linenumber"), F.col("l_partkey")
@@ -125,7 +125,7 @@ def plan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One plan document per order, with every kind of row a plan grid has."""
-    o = facts(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+    o = facts(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"], ["o_orderkey"])
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     text = "string"
 
@@ -164,7 +164,7 @@ def plan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extracted tables with blank outer columns, one table per ship month and line number."""
-    rows = facts(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"])
+    rows = facts(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"], ["l_orderkey", "l_partkey"])
     line, text = F.col("l_linenumber"), "string"
     cells = F.array(
         F.when(line % 2 == 0, "").otherwise(F.lit(" ")),

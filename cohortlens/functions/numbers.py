@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as a number. Spark alone would also take '1d', '1f', 'nan' and 'inf'.
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def number(c: Column | str) -> Column:
-    """Text to double; null where the text is no number."""
-    text = _col(c).cast("string")
-    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    """Text to double; null where the text is no number.
+
+    Spark alone would also take '1d', '1f', 'nan', 'inf' and hex floats: all of
+    these end in a letter or hold an x.
+    """
+    text = F.btrim(_col(c).cast("string"), F.lit(" \t\r\n"))
+    plain = F.right(text, F.lit(1)).between(".", "9") & ~F.contains(F.lower(text), F.lit("x"))
+    return F.when(plain, text.try_cast("double"))
 
 
 def count(c: Column | str) -> Column:

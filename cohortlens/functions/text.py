@@ -32,6 +32,12 @@ def squeeze(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(c), BLANKS, " "))
 
 
+def inner(element: Column | str) -> Column:
+    """What follows the open tag of an element."""
+    c = _col(element)
+    return F.substring(c, F.instr(c, F.lit(">")) + 1, F.length(c))
+
+
 def blank_to_null(c: Column | str) -> Column:
     c = _col(c)
     return F.when(~c.rlike(r"^\s*$"), c)
@@ -46,15 +52,17 @@ def split_last_dash(c: Column | str) -> tuple[Column, Column]:
     """(text before the last dash, text after it); no dash gives (text, null)."""
     c = _col(c)
     dashed = F.contains(c, F.lit("-"))
-    head = F.trim(F.when(dashed, F.regexp_extract(c, r"(?s)^(.*)-([^-]*)$", 1)).otherwise(c))
-    tail = F.when(dashed, F.nullif(F.trim(F.regexp_extract(c, r"(?s)^(.*)-([^-]*)$", 2)), F.lit("")))
-    return head, tail
+    last = F.substring_index(c, "-", -1)
+    head = F.trim(F.when(dashed, F.left(c, F.length(c) - F.length(last) - 1)).otherwise(c))
+    return head, F.when(dashed, F.nullif(F.trim(last), F.lit("")))
 
 
 def split_first_dash(c: Column | str) -> tuple[Column, Column]:
     """(subject, number) around the first dash, trimmed, upper case."""
-    parts = F.split(_col(c), "-", 2)
-    return F.upper(F.trim(F.get(parts, F.lit(0)))), F.upper(F.trim(F.get(parts, F.lit(1))))
+    c = _col(c)
+    first = F.substring_index(c, "-", 1)
+    rest = F.when(F.contains(c, F.lit("-")), F.substring(c, F.length(first) + 2, F.length(c)))
+    return F.upper(F.trim(first)), F.upper(F.trim(rest))
 
 
 def course_code(c: Column | str) -> tuple[Column, Column]:
@@ -63,48 +71,77 @@ def course_code(c: Column | str) -> tuple[Column, Column]:
     return F.upper(match(bare, COURSE_CODE, 1)), F.upper(match(bare, COURSE_CODE, 2))
 
 
-def hours(c: Column | str) -> tuple[Column, Column, Column]:
-    """(min, max, mean) hours from '3', '15-16' or text without a number."""
+def hours(c: Column | str) -> tuple[Column, Column]:
+    """(min, max) hours from '3', '15-16' or text without a number."""
     c = _col(c)
     one = match(c, HOURS_SINGLE).cast("double")
     low = F.coalesce(match(c, HOURS_RANGE, 1).cast("double"), one)
     high = F.coalesce(match(c, HOURS_RANGE, 2).cast("double"), one)
-    return low, high, (low + high) / 2
+    return low, high
+
+
+def _let(c: Column, body) -> Column:
+    """Evaluate `c` once and use it several times in `body`."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
 def query_value(href: Column | str, name: str) -> Column:
-    """The first value of a query parameter of a link, decoded and trimmed."""
-    raw = match(unescape(_col(href)), rf"^[^#?]*\?(?:[^#]*?&)?{name}=([^&#]+)")
-    return F.trim(F.coalesce(F.try_url_decode(raw), raw))
+    """The first value of a query parameter of a decoded link, decoded and trimmed."""
+    pattern = rf"^[^#?]*\?(?:[^#]*?&)?{name}=([^&#]+)"
+    return _let(match(_col(href), pattern), lambda raw: F.trim(F.coalesce(F.try_url_decode(raw), raw)))
 
 
-def unescape(c: Column | str) -> Column:
-    """Replace character references by their characters, `&amp;` last."""
-    c = _col(c)
-    # Decimal references: split around them and put the decoded characters back.
-    pieces = F.split(c, r"&#[0-9]{2,6};")
+def _characters(c: Column) -> Column:
+    """Decimal references: split around them and put the decoded characters back."""
     codes = F.regexp_extract_all(c, F.lit(r"&#([0-9]{2,6});"), F.lit(1))
     chars = F.transform(
-        codes,
-        lambda d: F.decode(F.unhex(F.lpad(F.hex(d.cast("bigint")), 8, "0")), "UTF-32"),
+        codes, lambda d: F.decode(F.unhex(F.lpad(F.hex(d.cast("bigint")), 8, "0")), "UTF-32")
     )
-    woven = F.array_join(
-        F.zip_with(pieces, chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))), ""
+    woven = F.zip_with(
+        F.split(c, r"&#[0-9]{2,6};"), chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))
     )
-    c = F.when(F.contains(c, F.lit("&#")), woven).otherwise(c)
+    return F.when(F.contains(c, F.lit("&#")), F.array_join(woven, "")).otherwise(c)
+
+
+def _references(c: Column) -> Column:
     for name, char in ENTITIES.items():
         c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
     return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
-EDGES = r"^[\s\x{00a0}]+|[\s\x{00a0}]+$"
+def unescape(c: Column | str) -> Column:
+    """Replace character references by their characters, `&amp;` last."""
+
+    def decode(x: Column) -> Column:
+        return F.when(F.contains(x, F.lit("&")), _references(_let(x, _characters))).otherwise(x)
+
+    return _let(_col(c), decode)
+
+
+def attribute(tag: Column | str, name: str) -> Column:
+    """Value of a quoted attribute in the text of an open tag, decoded; null if absent."""
+    pattern = rf"""(?is)(?:^|[\s"']){name}\s*=\s*("[^"]*"|'[^']*')"""
+    return _let(
+        match(_col(tag), pattern), lambda q: unescape(F.substring(q, F.lit(2), F.length(q) - 2))
+    )
+
+
+EDGES = " \t\r\n\f\u000b\u00a0"
 
 
 def text_of(markup: Column | str, gap: str = "") -> Column:
     """The text between tags: each piece stripped, empty ones dropped, joined by `gap`."""
-    pieces = F.split(F.regexp_replace(_col(markup), r"(?s)<!--.*?-->", ""), r"<[^>]*>")
-    pieces = F.transform(pieces, lambda p: F.regexp_replace(unescape(p), EDGES, ""))
-    return F.array_join(F.filter(pieces, lambda p: p != ""), gap)
+
+    def strip(p: Column) -> Column:
+        return F.btrim(unescape(p), F.lit(EDGES))
+
+    def pieces(x: Column) -> Column:
+        bare = F.when(F.contains(x, F.lit("<!--")), F.regexp_replace(x, r"(?s)<!--.*?-->", "")).otherwise(x)
+        kept = F.filter(F.transform(F.split(bare, r"<[^>]*>"), strip), lambda p: p != "")
+        return F.array_join(kept, gap)
+
+    # Most cells are plain text.
+    return _let(_col(markup), lambda x: F.when(F.contains(x, F.lit("<")), pieces(x)).otherwise(strip(x)))
 
 
 SUP = r"(?is)<sup\b[^>]*>(.*?)</sup>"
@@ -112,13 +149,16 @@ SUP = r"(?is)<sup\b[^>]*>(.*?)</sup>"
 
 def without_sup(c: Column | str) -> Column:
     """Visible text with footnote markers taken out."""
-    return squeeze(text_of(F.regexp_replace(_col(c), SUP, "<br>"), " "))
+    marked = F.lower(_col(c)).contains("<sup")
+    bare = F.when(marked, F.regexp_replace(_col(c), SUP, "<br>")).otherwise(_col(c))
+    return squeeze(text_of(bare, " "))
 
 
 def sup_marks(c: Column | str) -> Column:
     """The footnote markers of a cell, comma-joined; null if there are none."""
+    found = F.lower(_col(c)).contains("<sup")
     marks = F.transform(F.regexp_extract_all(_col(c), F.lit(SUP), F.lit(1)), lambda m: text_of(m))
-    return F.nullif(F.array_join(marks, ","), F.lit(""))
+    return F.when(found, F.nullif(F.array_join(marks, ","), F.lit("")))
 
 
 def keyword_hit(columns: list[Column], keywords: list[str]) -> Column:

@@ -21,7 +21,9 @@ def label(code: Column, names: dict[str, str]) -> Column:
 
 def file_fields(name: Column) -> dict[str, Column]:
     """College, Year and Semester from `grd_<year>_<semester>_<college>.pdf`."""
-    base = F.regexp_replace(F.regexp_replace(name, r"^.*/", ""), r"(\.pdf)?(\.PDF)?$", "")
+    base = F.substring_index(name, "/", -1)
+    for ending in (".pdf", ".PDF"):
+        base = F.when(base.endswith(ending), F.left(base, F.length(base) - 4)).otherwise(base)
     parts = F.split(base, "_")
     known = (F.size(parts) >= 4) & (F.lower(F.get(parts, F.lit(0))) == "grd")
     college = F.upper(F.array_join(F.slice(parts, 4, F.greatest(F.size(parts) - 3, F.lit(0))), "_"))

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..codes import BLOCK, COURSE, HEADER, OPTION, SUBTOTAL, TOTAL
-from ..functions.text import course_code, hours, query_value, squeeze, sup_marks, text_of, unescape, without_sup
+from ..functions.text import (
+    attribute, course_code, hours, inner, query_value, squeeze, sup_marks, text_of, without_sup,
+)
 from ..schemas import PLAN_ROWS
 
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
@@ -38,14 +40,6 @@ def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute in the text of an open tag, decoded; null if absent."""
-    pattern = rf"""(?is)(?:^|[\s"']){name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    has = tag.rlike(pattern)
-    value = F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
-    return F.when(has, unescape(value))
-
-
 def table_rows(pages: DataFrame) -> DataFrame:
     """(major, pos, tr): rows of all plan grids of a page, in document order."""
     seen = F.regexp_replace("html", UNSEEN, "")
@@ -62,63 +56,73 @@ def _last(cells: Column) -> Column:
 
 
 def typed_rows(rows: DataFrame) -> DataFrame:
-    """One typed row per table row; `kind` is year, term or a row type, null rows are dropped.
+    """One typed row per table row; `kind` is year, term, a row type, or null for rows without cells.
 
     The order of the cases matters: a year, term or sum row is known by its
     class, a block row by its span, and only then an option by its indent.
     """
-    tag = F.regexp_extract("tr", r"(?s)^<[^>]*>", 0)
-    classes = F.split(F.coalesce(attribute(tag, "class"), F.lit("")), r"\s+")
+    open_tag = r"(?s)^<[^>]*>"
+    # Each step names what the next one uses more than once, so it is cut once.
+    cut = rows.withColumns({
+        "classes": F.split(F.coalesce(attribute(F.regexp_extract("tr", open_tag, 0), "class"), F.lit("")), r"\s+"),
+        "cells": all_matches(F.col("tr"), CELL),
+    })
+    n = F.size("cells")
+    cut = cut.select(
+        "major", "pos", "tr", "classes", n.alias("n"),
+        F.get("cells", F.lit(0)).alias("first"),
+        inner(F.get("cells", F.lit(0))).alias("code_td"),
+        inner(F.get("cells", F.lit(1))).alias("title_td"),
+        inner(_last(F.col("cells"))).alias("hours_td"),
+    )
+    cut = cut.withColumns({
+        "hours_raw": F.coalesce(text_of("hours_td"), F.lit("")),
+        "plain": without_sup("code_td"),
+        "span": F.when(F.contains("first", F.lit("colspan")), attribute(F.regexp_extract("first", open_tag, 0), "colspan")),
+        "indent": F.when(F.contains("code_td", F.lit("blockindent")), all_matches(F.col("code_td"), INDENT, 1)),
+    })
 
     def marked(name: str) -> Column:
         return F.array_contains("classes", name)
 
-    cut = rows.withColumns({"classes": classes, "cells": all_matches(F.col("tr"), CELL)})
-    n = F.size("cells")
-    cut = cut.withColumns({
-        "code_td": F.get("cells", F.lit(0)),
-        "title_td": F.get("cells", F.lit(1)),
-        "hours_raw": F.when(n > 0, text_of(_last(F.col("cells")))).otherwise(""),
-    })
-    span = attribute(F.regexp_extract("code_td", r"(?s)^<[^>]*>", 0), "colspan")
-    is_block = (F.coalesce(span, F.lit("")) == "2") | (n == 2)
-    starts_select = F.lower(without_sup("code_td")).startswith("select")
+    is_block = (F.coalesce("span", F.lit("")) == "2") | (F.col("n") == 2)
+    is_option = F.coalesce(F.size("indent"), F.lit(0)) > 0
     kind = (
         F.when(marked("plangridyear"), "year")
         .when(marked("plangridterm"), "term")
         .when(marked("plangridsum"), SUBTOTAL)
         .when(marked("plangridtotal"), TOTAL)
-        .when(n == 0, None)
-        .when(is_block & starts_select, HEADER)
+        .when(F.col("n") == 0, None)
+        .when(is_block & F.lower("plain").startswith("select"), HEADER)
         .when(is_block, BLOCK)
-        .when(F.col("code_td").rlike(INDENT), OPTION)
+        .when(is_option, OPTION)
         .otherwise(COURSE)
     )
-    cut = cut.withColumn("kind", kind).where("kind IS NOT NULL")
-
+    cut = cut.withColumns({"kind": kind, "inside": F.coalesce(F.get("indent", F.lit(0)), "code_td")})
     listed, block = F.col("kind").isin(COURSE, OPTION), F.col("kind").isin(HEADER, BLOCK)
-    inside = F.when(F.col("kind") == OPTION, F.regexp_extract("code_td", INDENT, 1)).otherwise(F.col("code_td"))
-    has_link = inside.rlike(LINK)
-    shown = F.when(has_link, F.regexp_extract(inside, LINK, 2)).otherwise(F.col("code_td"))
+    cut = cut.withColumn("link", F.when(listed & F.contains("inside", F.lit("<")), F.get(all_matches(F.col("inside"), LINK), F.lit(0))))
+    shown = F.coalesce(F.regexp_extract("link", LINK, 2), F.col("code_td"))
     cut = cut.withColumns({
         "label": F.when(F.col("kind").isin("year", "term"), _first_head(F.col("tr"))),
         "code_raw": F.when(listed, squeeze(text_of(shown))),
-        "code": F.when(listed & has_link, query_value(attribute(F.regexp_extract(inside, LINK, 1), "href"), "P")),
+        "code": query_value(attribute(F.regexp_extract("link", LINK, 1), "href"), "P"),
     })
-    subject, number = course_code(F.coalesce("code", "code_raw"))
+    cut = cut.withColumn("code", F.coalesce("code", "code_raw"))
+    subject, number = course_code("code")
     title = (
-        F.when(block, without_sup("code_td"))
+        F.when(block, F.col("plain"))
         .when(listed, F.coalesce(without_sup("title_td"), F.lit("")))
         .when(F.col("kind") == SUBTOTAL, "Semester Credit Hours")
         .when(F.col("kind") == TOTAL, F.coalesce(text_of("title_td"), F.lit("Total")))
     )
     marks = F.when(block, sup_marks("code_td")).when(listed, sup_marks("title_td"))
-    low, high, mean = hours("hours_raw")
+    low, high = hours("hours_raw")
+    cut = cut.withColumns({"low": low, "high": high})
     return cut.select(
         "major", "pos", "kind", "label", subject.alias("course_subject"), number.alias("course_number"),
         F.col("code_raw").alias("course_code_raw"), title.alias("title"), marks.alias("footnote_refs"),
-        F.col("hours_raw").alias("credit_hours_raw"), low.alias("credit_hours_min"),
-        high.alias("credit_hours_max"), mean.alias("credit_hours"),
+        F.col("hours_raw").alias("credit_hours_raw"), F.col("low").alias("credit_hours_min"),
+        F.col("high").alias("credit_hours_max"), ((F.col("low") + F.col("high")) / 2).alias("credit_hours"),
     )
 
 
@@ -129,12 +133,14 @@ def number_rows(rows: DataFrame) -> DataFrame:
     """
     page = Window.partitionBy("major").orderBy("pos")
     kind = F.col("kind")
-    is_block = kind.isin(HEADER, BLOCK).cast("int")
-    emitted = (~kind.isin("year", "term")).cast("int")
+    is_block = F.coalesce(kind.isin(HEADER, BLOCK).cast("int"), F.lit(0))
+    emitted = F.coalesce((~kind.isin("year", "term")).cast("int"), F.lit(0))
     carried = rows.select(
         "*",
         F.last(F.when(kind == "year", F.col("label")), ignorenulls=True).over(page).alias("year_label"),
         F.last(F.when(kind == "term", F.col("label")), ignorenulls=True).over(page).alias("term"),
+        # Rows without cells are counted nowhere and go only after the shuffle:
+        # filtering them earlier would cut the markup a second time.
         (F.sum(emitted).over(page) - 1).cast("int").alias("row_order"),
         F.sum(is_block).over(page).alias("blocks"),
         F.sum(F.when(kind == "term", 1).otherwise(0)).over(page).alias("term_no"),
@@ -143,7 +149,7 @@ def number_rows(rows: DataFrame) -> DataFrame:
     own = F.max(F.when(is_block == 1, F.col("blocks"))).over(scope)
     numbered = carried.withColumn("choice_group_id", F.when(kind.isin(HEADER, BLOCK, OPTION), own))
     return (
-        numbered.where(~kind.isin("year", "term"))
+        numbered.where(kind.isNotNull() & ~kind.isin("year", "term"))
         .withColumn("row_type", kind)
         .select([F.col(f.name).cast(f.dataType).alias(f.name) for f in PLAN_ROWS])
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import query_value, squeeze, text_of
-from .documents import LINK, UNSEEN, all_matches, attribute
+from ..functions.text import attribute, query_value, squeeze, text_of
+from .documents import LINK, UNSEEN, all_matches
 
 PART = r"(?is)<(?:h1|p|li)\b[^>]*>.*?(?=</h1>|</p>|</li>|<(?:h1|p|li)\b|$)"
 
