@@ -87,7 +87,7 @@ def _let(c: Column, body) -> Column:
 
 def query_value(href: Column | str, name: str) -> Column:
     """The first value of a query parameter of a decoded link, decoded and trimmed."""
-    pattern = rf"^[^#?]*\?(?:[^#]*?&)?{name}=([^&#]+)"
+    pattern = rf"^[^#?]*\?(?:[^#]*?&)??{name}=([^&#]+)"
     return _let(match(_col(href), pattern), lambda raw: F.trim(F.coalesce(F.try_url_decode(raw), raw)))
 
 

@@ -134,7 +134,8 @@ def difficulty_score(rates: DataFrame) -> DataFrame:
         F.struct(
             F.count("*").alias("n"),
             *[F.avg(m).alias(f"mean_{m}") for m in metrics],
-            *[F.stddev_pop(m).alias(f"std_{m}") for m in metrics],
+            # The float deviation of equal values need not be exactly zero.
+            *[F.when(F.min(m) < F.max(m), F.stddev_pop(m)).otherwise(0.0).alias(f"std_{m}") for m in metrics],
         ).alias("m")
     ).scalar()
 

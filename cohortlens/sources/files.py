@@ -25,7 +25,7 @@ def file_manifest(spark: SparkSession, folder: str, suffix: str = ".pdf") -> Dat
 
 def cached_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(stem, html) of the cached pages that are not empty."""
-    pages = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.html").text(folder)
+    pages = spark.read.option("pathGlobFilter", "*.html").text(folder, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.html$", 1)
     return pages.select(F.url_decode(name).alias("stem"), F.col("value").alias("html")).where(F.length("html") > 0)
 
@@ -41,9 +41,9 @@ def pages_to_fetch(sources: DataFrame, cached: DataFrame) -> DataFrame:
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Hive-partitioned folder with a fixed schema.
+    """A Hive-partitioned folder with a fixed schema and order of columns.
 
     The schema names the types of the partition columns too: one folder named
     `Unknown` must not turn the years of all others into text.
     """
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
