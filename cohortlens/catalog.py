@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from . import bridge
 from .codes import NOISE_KEYWORDS
+from .functions.numbers import half_up
 from .functions.text import slug
 from .operators import association, choice, courses, grid, matching, reports, rollup, worklist
 from .operators import sections as sec
@@ -31,10 +32,8 @@ def query(run: Query) -> Query:
 
 
 def _digits(df: DataFrame, n: int = 6) -> DataFrame:
-    """Round doubles so that the order of float sums does not show; -0 becomes 0."""
-    new = {
-        f.name: F.round(F.col(f.name), n) + F.lit(0.0) for f in df.schema if isinstance(f.dataType, T.DoubleType)
-    }
+    """Round doubles so that the order of float sums does not show."""
+    new = {f.name: half_up(F.col(f.name), n) for f in df.schema if isinstance(f.dataType, T.DoubleType)}
     return df.withColumns(new) if new else df
 
 

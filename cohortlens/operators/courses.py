@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import half_up, number, ratio
+from ..functions.numbers import half_up, ratio
 from ..functions.text import split_first_dash
 from ..schemas import COURSE_GPA, COURSE_KEY, COURSE_STATS
+from .sections import typed
 
 REQUIRED_FOR_GPA = {"Class_Code", "GPA"}
 REQUIRED_FOR_STATS = {"Class_Code", "GPA", "F", "Total_A_F", "Q", "X", "Total"}
@@ -34,10 +35,11 @@ def course_gpa(sections: DataFrame) -> DataFrame:
     """
     if not _has(sections, REQUIRED_FOR_GPA):
         return _empty(sections, COURSE_GPA)
-    weight = F.col("Total").try_cast("bigint") if "Total" in sections.columns else F.lit(1).cast("bigint")
+    sections = typed(sections)
+    weight = F.col("Total") if "Total" in sections.columns else F.lit(1).cast("bigint")
     rows = (
         with_course_key(sections)
-        .select(*COURSE_KEY, number("GPA").alias("g"), F.coalesce(weight, F.lit(0)).alias("w"))
+        .select(*COURSE_KEY, F.col("GPA").alias("g"), F.coalesce(weight, F.lit(0)).alias("w"))
         .where("g IS NOT NULL AND course_subject IS NOT NULL AND course_number IS NOT NULL AND w > 0")
     )
     return rows.groupBy(*COURSE_KEY).agg(
@@ -50,7 +52,7 @@ def course_stats(sections: DataFrame) -> DataFrame:
     """Weighted GPA, failure and drop rate per course over sections with students."""
     if not _has(sections, REQUIRED_FOR_STATS):
         return _empty(sections, COURSE_STATS)
-    rows = with_course_key(sections).where(
+    rows = with_course_key(typed(sections)).where(
         "course_subject IS NOT NULL AND course_number IS NOT NULL AND Total > 0"
     )
     graded = F.when(F.col("GPA").isNotNull(), F.col("Total"))

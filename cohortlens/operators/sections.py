@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..codes import COLLEGE_GROUPS, COLLEGE_NAMES, HEADER_WORDS, SEMESTER_NAMES, UNKNOWN
 from ..functions.numbers import count, half_even, number, ratio
@@ -80,10 +81,16 @@ def sql_names(df: DataFrame) -> DataFrame:
 
 
 def typed(df: DataFrame) -> DataFrame:
-    """Counts to bigint and GPA to double where present; stray text becomes null."""
-    casts = {c: count(c) for c in COUNT_COLUMNS if c in df.columns}
+    """Counts to bigint and GPA to double where present; stray text becomes null.
+
+    Columns that hold numbers already are not parsed again.
+    """
+    text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    casts = {
+        c: count(c) if c in text else F.col(c).cast("bigint") for c in COUNT_COLUMNS if c in df.columns
+    }
     if "GPA" in df.columns:
-        casts["GPA"] = number("GPA")
+        casts["GPA"] = number("GPA") if "GPA" in text else F.col("GPA").cast("double")
     return df.withColumns(casts)
 
 

@@ -236,7 +236,12 @@ eta AS (SELECT lv.col_a, lv.col_b, coalesce(sqrt(sum(n * (lv.m - al.m) ** 2) / n
 
 
 def _round(columns: list[str], digits: int = 6) -> str:
-    return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in columns)
+    return ", ".join(f"{_r(c, digits)} AS {c}" for c in columns)
+
+
+def _r(c: str, digits: int = 6) -> str:
+    """Round half away from zero on nine exact decimals, as the library's `half_up`."""
+    return f"CAST(round(CAST({c} AS DECIMAL(28, 9)), {digits}) AS DOUBLE)"
 
 
 def _unescape(c: str) -> str:
@@ -411,13 +416,13 @@ SELECT major, course_subject, course_number, count(*) AS n_groups FROM groups GR
     "optimal_plan": f"""WITH RECURSIVE {BEST}
 SELECT major, {_round(['optimal_expected_gpa', 'matched_credit_hours'])}, num_choice_groups FROM best""",
     "optimizer_comparison": f"""WITH RECURSIVE {BEST}
-SELECT b.major, round(optimal_expected_gpa, 6) + 0.0 AS optimal_expected_gpa, round(b.matched_credit_hours, 6) + 0.0 AS matched_credit_hours, num_choice_groups,
-       round(r.expected_gpa, 6) + 0.0 AS baseline_expected_gpa, round(optimal_expected_gpa - r.expected_gpa, 6) + 0.0 AS gpa_uplift
+SELECT b.major, {_r('optimal_expected_gpa')} AS optimal_expected_gpa, {_r('b.matched_credit_hours')} AS matched_credit_hours, num_choice_groups,
+       {_r('r.expected_gpa')} AS baseline_expected_gpa, {_r('optimal_expected_gpa - r.expected_gpa')} AS gpa_uplift
 FROM best b LEFT JOIN ranking r ON r.major = b.major""",
     "pearson_matrix": f"""WITH {PREPARED}, long AS ({_long(NUMERIC, 'DOUBLE')})
-SELECT col_a, col_b, round({PEARSON}, 6) + 0.0 AS r, count(*) AS n FROM long GROUP BY col_a, col_b""",
+SELECT col_a, col_b, {_r(PEARSON)} AS r, count(*) AS n FROM long GROUP BY col_a, col_b""",
     "spearman_matrix": f"""WITH {PREPARED}, long AS ({_long(NUMERIC, 'DOUBLE')}), {RANKED}
-SELECT col_a, col_b, round({PEARSON}, 6) + 0.0 AS r, count(*) AS n FROM ranked GROUP BY col_a, col_b""",
+SELECT col_a, col_b, {_r(PEARSON)} AS r, count(*) AS n FROM ranked GROUP BY col_a, col_b""",
     "spearman_top_pairs": f"""WITH {PREPARED}, long AS ({_long(NUMERIC, 'DOUBLE')}), {RANKED},
 rho AS (SELECT col_a, col_b, round_even({PEARSON} * 1000, 0) / 1000 AS r FROM ranked GROUP BY col_a, col_b)
 SELECT col_a, col_b, r, abs(r) AS abs_r FROM rho WHERE abs(r) > 0.4 AND abs(r) < 1 ORDER BY abs_r DESC, col_a, col_b LIMIT 15""",
@@ -428,7 +433,7 @@ balance AS (SELECT p.col_a, p.col_b, sum(CAST(p.n AS DOUBLE) * q.n * sign(p.y -
 sizes AS (SELECT col_a, col_b, CAST(sum(n) AS DOUBLE) AS n FROM cells GROUP BY ALL),
 tx AS (SELECT col_a, col_b, sum(CAST(n AS DOUBLE) * (n - 1) / 2) AS t FROM (SELECT col_a, col_b, x, sum(n) AS n FROM cells GROUP BY ALL) z GROUP BY ALL),
 ty AS (SELECT col_a, col_b, sum(CAST(n AS DOUBLE) * (n - 1) / 2) AS t FROM (SELECT col_a, col_b, y, sum(n) AS n FROM cells GROUP BY ALL) z GROUP BY ALL)
-SELECT col_a, col_b, round(v / nullif(sqrt((n * (n - 1) / 2 - tx.t) * (n * (n - 1) / 2 - ty.t)), 0), 6) + 0.0 AS r, CAST(n AS BIGINT) AS n
+SELECT col_a, col_b, {_r('v / nullif(sqrt((n * (n - 1) / 2 - tx.t) * (n * (n - 1) / 2 - ty.t)), 0)')} AS r, CAST(n AS BIGINT) AS n
 FROM sizes LEFT JOIN balance USING (col_a, col_b) JOIN tx USING (col_a, col_b) JOIN ty USING (col_a, col_b)""",
     "theils_u": f"WITH {PREPARED}, {_filled(NOMINAL4, [])}, {_theil(NOMINAL4)} SELECT col_a, col_b, {_round(['r'])} FROM theil",
     "correlation_ratio": f"WITH {PREPARED}, {_filled(NOMINAL, NUMERIC)}, {_eta(NOMINAL, NUMERIC)} SELECT col_a, col_b, {_round(['r'])} FROM eta",
@@ -438,7 +443,7 @@ parts AS (
 SELECT col_a, col_b, 'theils_u' AS measure, r FROM theil
 UNION ALL SELECT col_a, col_b, 'correlation_ratio', r FROM eta UNION ALL SELECT col_b, col_a, 'correlation_ratio', r FROM eta
 UNION ALL SELECT col_a, col_b, 'pearson', r FROM pear UNION ALL SELECT col_b, col_a, 'pearson', r FROM pear)
-SELECT col_a, col_b, measure, round(r, 6) + 0.0 AS value FROM parts""",
+SELECT col_a, col_b, measure, {_r('r')} AS value FROM parts""",
     "chi2_contingency": f"""WITH {PREPARED}, long AS ({_long([*NOMINAL, 'Total', 'F'], 'VARCHAR')}),
 cells AS (SELECT col_a, col_b, x, y, CAST(count(*) AS DOUBLE) AS n FROM long GROUP BY ALL),
 xs AS (SELECT col_a, col_b, x, sum(n) AS n FROM cells GROUP BY ALL), ys AS (SELECT col_a, col_b, y, sum(n) AS n FROM cells GROUP BY ALL),
@@ -446,7 +451,7 @@ total AS (SELECT col_a, col_b, sum(n) AS n FROM cells GROUP BY ALL),
 fits AS (SELECT xs.col_a, xs.col_b, coalesce(c.n, 0) AS o, xs.n * ys.n / t.n AS e
   FROM xs JOIN ys ON ys.col_a = xs.col_a AND ys.col_b = xs.col_b JOIN total t ON t.col_a = xs.col_a AND t.col_b = xs.col_b
   LEFT JOIN cells c ON c.col_a = xs.col_a AND c.col_b = xs.col_b AND c.x = xs.x AND c.y = ys.y)
-SELECT f.col_a, f.col_b, round(f.chi2, 6) + 0.0 AS chi2, (la - 1) * (lb - 1) AS dof, CAST(t.n AS BIGINT) AS n, la AS levels_a, lb AS levels_b
+SELECT f.col_a, f.col_b, {_r('f.chi2')} AS chi2, (la - 1) * (lb - 1) AS dof, CAST(t.n AS BIGINT) AS n, la AS levels_a, lb AS levels_b
 FROM (SELECT col_a, col_b, sum((o - e) ** 2 / e) AS chi2 FROM fits GROUP BY ALL) f JOIN total t USING (col_a, col_b)
 JOIN (SELECT col_a, col_b, count(*) AS la FROM xs GROUP BY ALL) a USING (col_a, col_b)
 JOIN (SELECT col_a, col_b, count(*) AS lb FROM ys GROUP BY ALL) b USING (col_a, col_b)""",
@@ -485,7 +490,7 @@ FROM s GROUP BY ALL""",
 SELECT major, {_round(['expected_gpa', 'avg_fail_rate', 'avg_drop_rate', 'difficulty_score'])} FROM scored""",
     "stream_ingest": f"""WITH {S}
 SELECT "College", "Year", count(*) AS n_rows, CAST(sum("Total") AS BIGINT) AS students, count("GPA") AS n_gpa FROM s GROUP BY ALL""",
-    "events_running_mean": """
-SELECT user_id, round(sum(value * (event_id % 5 + 1)) / sum(CASE WHEN value IS NULL THEN NULL ELSE event_id % 5 + 1 END), 6) + 0.0 AS mean,
+    "events_running_mean": f"""
+SELECT user_id, {_r('sum(value * (event_id % 5 + 1)) / sum(event_id % 5 + 1)')} AS mean,
        CAST(sum(event_id % 5 + 1) AS BIGINT) AS weight, count(*) AS n FROM events GROUP BY user_id""",
 }

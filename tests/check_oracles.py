@@ -47,8 +47,8 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str, na
     odd = {c: (k, theirs[c]) for c, k in kinds.items() if same.get(k) != theirs[c]}
     a, b = normal(df.columns, rows), normal(columns, expected)
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:2]
-        only_b = [r for r in b if r not in set(a)][:2]
+        in_a, in_b = set(a), set(b)
+        only_a, only_b = [r for r in a if r not in in_b][:2], [r for r in b if r not in in_a][:2]
         return f"DIFFERENT {len(a)} / {len(b)} rows; spark {only_a} sql {only_b} {odd or ''}"
     return f"equal: {len(a)} rows" + (f"; TYPES {odd}" if odd else "")
 
