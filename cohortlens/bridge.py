@@ -97,7 +97,8 @@ def plan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = F.when(F.col("o_orderkey") % 50 != 0, (1 + F.col("o_orderkey") % 4).cast("double"))
     status = F.col("o_orderstatus")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    lines = facts(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"], ["l_orderkey", "l_partkey"])
+    lines = lines.withColumnRenamed("l_orderkey", "o_orderkey")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_name")
 
     listed = lines.join(orders.where(status.isin("O", "F")), "o_orderkey").join(part, "l_partkey")

@@ -112,6 +112,7 @@ def running_totals(
     order: str,
     value: str,
     out: str,
+    scale_by: Sequence[str] | None = None,
     window_rows: int | None = None,
 ) -> DataFrame:
     """Add `out`: the sum of `value` over rows of the same key before this one.
@@ -119,7 +120,8 @@ def running_totals(
     `table` has one row per (`keys`, `order`). If it fits one window it takes the
     direct road. A larger one is cut into ranges of `order`: each range is summed
     on its own and shifted by the ranges before it, so the work of the largest
-    key spreads over many tasks.
+    key spreads over many tasks. `scale_by` (default: the first key) are the keys
+    whose values of `order` differ in scale; they must be few.
     """
     keys, df = list(keys), table.df
     before = (Window.unboundedPreceding, -1)
@@ -128,9 +130,10 @@ def running_totals(
         return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
 
     cuts = [i / RANGES for i in range(1, RANGES)]
-    # One row with the cut points of the whole column: bounded by RANGES.
-    bounds = df.agg(F.percentile_approx(order, cuts, 10_000).alias("b")).scalar()
-    ranged = df.withColumn("_b", bounds)
+    scale_by = list(scale_by or keys[:1])
+    # RANGES cut points for each of a few scales, such as a pair of columns.
+    bounds = df.groupBy(*scale_by).agg(F.percentile_approx(order, cuts, 10_000).alias("_b"))
+    ranged = df.join(F.broadcast(bounds), scale_by)
     ranged = ranged.withColumn("_r", F.size(F.filter("_b", lambda b: b < F.col(order)))).drop("_b")
     ranged = stage(ranged).df
     per_range = ranged.groupBy(*keys, "_r").agg(F.sum(value).alias("_n"))
