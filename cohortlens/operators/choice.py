@@ -227,18 +227,18 @@ def exact_picks(
     need a longer list: only these are solved again.
     """
     options = _options(matched, groups, majors)
-    schema = T.StructType([f for f in options.schema if f.name != "look"])
-    schema = schema.add("look", T.IntegerType()).add("short", T.BooleanType())
-    names = [f.name for f in schema if f.name != "short"]
-    todo, done = options.withColumn("look", F.lit(first_look)).select(*names), None
+    # The solver gets no titles or names: its picks are looked up again by rank.
+    todo = options.select(*GROUP, "course", "value", "rank").withColumn("look", F.lit(first_look))
+    names, done = todo.columns, None
+    schema = T.StructType(todo.schema.fields).add("short", T.BooleanType())
     while True:
         offered = todo.where(F.col("rank") <= F.col("look") + 1)
         solved = stage(offered.groupBy("major").applyInPandas(_solve, schema)).df
-        picked = solved.where(~F.col("short")).select(*PICK)
+        picked = solved.where(~F.col("short")).select(*GROUP, "rank")
         done = picked if done is None else done.unionByName(picked)
         short = stage(solved.where("short").select(*GROUP, (F.col("look") * 4).alias("longer")))
         if short.rows == 0:
-            return done
+            return options.join(done, [*GROUP, "rank"]).select(*PICK)
         open_majors = stage(short.df.select("major").distinct())
         again = lookup_join(todo, open_majors.df, ["major"], "left_semi", open_majors.rows)
         again = lookup_join(again, short.df, GROUP, "left", short.rows)
