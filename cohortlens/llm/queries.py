@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, mixing, neardup, toxicity
+from . import bpe, fingerprints, mixing, neardup, pii, toxicity, vectors
 from .texts import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,10 @@ def op1_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
 
+def op2_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), WORD_BPE)
 
@@ -39,12 +43,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
+def op10_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vectors.nearest(rows, rows.where("vec_id % 20 = 0").select("vec_id"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_syncmers": op1_syncmers,
+    "op2_contexts": op2_contexts,
     "op4_bpe": op4_bpe,
     "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
     "op9_toxicity": op9_toxicity,
+    "op10_partitions": op10_partitions,
 }
 
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
