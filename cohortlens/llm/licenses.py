@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sharing import receive, send
 from .texts import mix, pieces, strings, texts
 
 GRAM = 3
@@ -182,7 +183,7 @@ def matches(table: Words, text: str) -> list[tuple[str, float, int, int]]:
 
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Words(shared.value)
+        table = Words(receive(shared))
         for whole in batches:
             for batch in pieces(whole, "text"):
                 found = [
@@ -196,7 +197,7 @@ def _scan(shared):
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """`doc_id` and `matches` (license, coverage, start, end) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(templates or TEMPLATES)
+    shared = send(docs.sparkSession, templates or TEMPLATES)
     return texts(docs).mapInArrow(
         _scan(shared), "doc_id long, matches array<struct<license:string,coverage:double,start:bigint,end:bigint>>"
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, mixing, neardup, pii, toxicity, vectors
+from . import blocks, bpe, fingerprints, language, licenses, mixing, neardup, pii, toxicity, vectors
 from .texts import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,10 @@ def op2_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op3_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), WORD_BPE)
 
@@ -39,6 +43,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_summary(documents(spark, sf_dir))
+
+
+def op8_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.scores(documents(spark, sf_dir))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), _labels(spark, sf_dir))
 
@@ -51,9 +63,12 @@ def op10_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_syncmers": op1_syncmers,
     "op2_contexts": op2_contexts,
+    "op3_lstm": op3_lstm,
     "op4_bpe": op4_bpe,
     "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
+    "op7_licenses": op7_licenses,
+    "op8_gru": op8_gru,
     "op9_toxicity": op9_toxicity,
     "op10_partitions": op10_partitions,
 }

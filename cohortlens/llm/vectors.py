@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sharing import receive, send
 from .texts import kept
 
 SAMPLE = 8192
@@ -199,7 +200,7 @@ class Index:
         self.longest = 1.0
         if self.width:
             self._learn()
-            shared = spark.sparkContext.broadcast((self.router, self.longest))
+            shared = send(spark, (self.router, self.longest))
             placed = self.entries.mapInArrow(_place(shared), "vec binary, ids array<long>, part int")
             self.placed = kept(placed, "placed")
 
@@ -224,7 +225,7 @@ class Index:
             return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         asked = self.packed.join(queries.select(F.col("vec_id").cast("long")).distinct(), "vec_id", "left_semi").distinct()
         asked = kept(asked, "asked")
-        shared = spark.sparkContext.broadcast(self.router)
+        shared = send(spark, self.router)
         routed = asked.select("vec").distinct().mapInArrow(_route(shared), "vec binary, part int")
         routed = kept(routed, "routed")
         # Blocks of parts; counts of at most MOST_PARTS parts reach the driver.
@@ -233,7 +234,7 @@ class Index:
         sizes = spark.createDataFrame(
             [(p, -(-n // BLOCK), -(-asks.get(p, 0) // BLOCK)) for p, n in rows.items()], "part int, c_blocks int, q_blocks int")
         sizes = F.broadcast(sizes)
-        mine, every = F.pmod(F.xxhash64("vec"), F.col("c_blocks")), F.pmod(F.xxhash64("vec"), F.col("q_blocks"))
+        mine, every = (F.pmod(F.xxhash64("vec"), F.col(n)).cast("int") for n in ("c_blocks", "q_blocks"))
 
         def all_of(n: str):
             return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -266,7 +267,7 @@ def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _place(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        router, longest = shared.value
+        router, longest = receive(shared)
         for batch in batches:
             part = np.zeros(batch.num_rows, np.int32)
             if router and batch.num_rows:
@@ -277,7 +278,7 @@ def _place(shared):
 
 def _route(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        router = shared.value
+        router = receive(shared)
         for batch in batches:
             if not batch.num_rows:
                 continue
