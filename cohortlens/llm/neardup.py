@@ -10,8 +10,10 @@ on full shingle sets.
 
 Only connectivity is asked for. A first round compares neighbours in the
 posting lists, sorted by the rest of the signature, which is linear and joins
-most copies; a second one compares what is left, pairs of one list that lie in
-different components. No list is cut and no pair above the threshold left out.
+most copies. A second one takes the lists that still hold several components:
+the classes they connect form pools, and pools are compared block by block, where
+only pairs of different components count and only links are put out. No list is
+cut and no pair above the threshold left out.
 
 Empty: a document without words has no shingles and no links. Repeated rows
 are copies of one another and get the same result each. Null ids: such rows
@@ -28,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .texts import bytes_of, kept, pieces, shingles, texts, word_hashes
 
@@ -36,6 +39,8 @@ MATCHES = 18
 PREFIX = COORDINATES - MATCHES + 1
 SIMILAR = 85  # percent
 SHINGLE = 5
+# Rows of a block of a pool; beyond eight of the largest, a pool has more blocks.
+LEAST_BLOCK, LARGEST_BLOCK = 512, 8192
 
 _rng = np.random.default_rng(5)
 _FACTOR = _rng.integers(1, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -107,17 +112,67 @@ def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-@F.pandas_udf("boolean")
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < SIMILAR * len(y):
+        return False
+    place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[place] == x).sum())
+    return 100 * common >= SIMILAR * (len(x) + len(y) - common)
+
+
+@F.pandas_udf(T.BooleanType())
 def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(a, b):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if len(x) > len(y):
-            x, y = y, x
-        place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-        common = int((y[place] == x).sum())
-        out.append(100 * common >= SIMILAR * (len(x) + len(y) - common))
-    return pd.Series(out, dtype=bool)
+    return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
+
+
+def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links between components, cell by cell; a cell is two blocks of one pool, and rows come sorted by it."""
+    rest = None
+    for rows in batches:
+        rows = rows if rest is None else pd.concat([rest, rows], ignore_index=True)
+        key = rows[["pool", "c", "d"]].to_numpy()
+        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts[:-1]], cuts):
+            yield _cell_links(rows.iloc[a:b])
+        rest = rows.iloc[cuts[-1] :] if len(cuts) else rows
+    if rest is not None and len(rest):
+        yield _cell_links(rest)
+
+
+def _cell_links(rows: pd.DataFrame) -> pd.DataFrame:
+    rep, component, block = (rows[c].to_numpy() for c in ("rep", "component", "block"))
+    signs = np.stack(rows["sig"].to_numpy())
+    sets = [np.frombuffer(s, np.uint64) for s in rows["set"]]
+    sizes = np.array([len(s) for s in sets])
+    c, d = rows["c"].iat[0], rows["d"].iat[0]
+    left, right = (np.arange(len(rows)),) * 2 if c == d else (np.flatnonzero(block == c), np.flatnonzero(block == d))
+    root = {x: x for x in component.tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found: list[tuple[int, int]] = []
+    for first in range(0, len(left), 256):
+        own = left[first : first + 256]
+        matches = np.zeros((len(own), len(right)), np.uint8)
+        for j in range(COORDINATES):
+            matches += signs[own, j][:, None] == signs[right, j][None, :]
+        near = (matches >= MATCHES) & (component[own][:, None] != component[right][None, :])
+        small, large = np.minimum(sizes[own][:, None], sizes[right][None, :]), np.maximum(sizes[own][:, None], sizes[right][None, :])
+        near &= 100 * small >= SIMILAR * large
+        for i, k in zip(*np.nonzero(near)):
+            i, k = own[i], right[k]
+            # A pair whose components have met in this cell needs no link of its own.
+            if (c != d or i < k) and (x := find(int(component[i]))) != (y := find(int(component[k]))) and similar(sets[i], sets[k]):
+                root[max(x, y)] = min(x, y)
+                found.append((int(min(rep[i], rep[k])), int(max(rep[i], rep[k]))))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -199,21 +254,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = kept(_confirmed(kept(near, "pairs"), sets), "links")
     labels = components(links)
 
-    # Round 2: pairs of one list in different components.
-    labelled = prefixes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
+    # Round 2: pairs that share a list and lie in different components.
+    labelled = prefixes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component")
     )
     mixed = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("key")
-    open_lists = kept(labelled.join(mixed, "key", "left_semi").select("key", "rep", "sig", "component"), "open")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    matches = F.size(F.filter(F.arrays_zip(F.col("x.sig").alias("p"), F.col("y.sig").alias("q")), lambda s: s["p"] == s["q"]))
-    rest = x.join(
-        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
-        & (F.col("x.component") != F.col("y.component")) & (matches >= MATCHES),
-    ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = kept(_confirmed(kept(rest, "pairs"), sets), "links")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("first")
+    ).where("low < high").select("key", "first")
+    open_lists = kept(labelled.join(mixed, "key"), "open")
+    # Classes connected by such lists form a pool; pairs are looked for inside of pools only.
+    pools = components(
+        open_lists.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    ).select(F.col("node").alias("rep"), F.col("component").alias("pool"))
+    sizes = pools.groupBy("pool").agg(F.count("*").alias("size")).withColumn(
+        "blocks", F.ceil(F.col("size") / F.least(F.lit(LARGEST_BLOCK), F.greatest(F.lit(LEAST_BLOCK), F.col("size") / 8)))
+    )
+    members = open_lists.select("rep", "component").distinct().join(pools, "rep").join(sizes, "pool").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    )
+    rows = members.join(classes.select("rep", "sig"), "rep").join(sets, "rep")
+    cell = [F.least("block", "other").alias("c"), F.greatest("block", "other").alias("d")]
+    cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "pool", *cell, "block", "rep", "component", "sig", "set"
+    )
+    more = kept(
+        cells.repartition(parts, "pool", "c", "d").sortWithinPartitions("pool", "c", "d", "rep")
+        .mapInPandas(_across, "a long, b long").distinct(), "links",
+    )
     labels = components(links.unionByName(more))
 
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -223,3 +290,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """Rows of `docs` without near duplicates: the smallest id of each component stays, once."""
+    found = kept(near_duplicates(docs).select("doc_id", "kept").where("doc_id IS NOT NULL"), "found")
+    by_id = found.groupBy("doc_id").agg(F.max("kept").alias("any_kept"), F.count("*").alias("rows"))
+    gone = kept(by_id.where(~F.col("any_kept")).select(F.col("doc_id").alias("__id")), "gone")
+    several = kept(by_id.where("any_kept AND rows > 1").select(F.col("doc_id").alias("__id")), "several")
+    rest = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    once = rest.join(several, rest["doc_id"] == several["__id"], "left_anti")
+    repeated = rest.join(several, rest["doc_id"] == several["__id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(repeated)
