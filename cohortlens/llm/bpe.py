@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sharing import receive, send
 from .texts import pieces, strings, texts
 
 # Words whose ids a worker remembers; beyond it starts afresh.
@@ -203,7 +204,7 @@ class Encoder:
 
 def _digests(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
+        encoder = Encoder(receive(vocabulary))
         for whole in batches:
             for batch in pieces(whole, "text"):
                 rows = [
@@ -220,7 +221,7 @@ def _digests(vocabulary):
 
 def _tokens(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
+        encoder = Encoder(receive(vocabulary))
         for whole in batches:
             for batch in pieces(whole, "text"):
                 found = list(encoder.encode(strings(batch.column("text"))))
@@ -237,13 +238,13 @@ def _tokens(vocabulary):
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `ids` and `decoded` text of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = send(docs.sparkSession, Vocabulary(path))
     return texts(docs).mapInArrow(_tokens(shared), "doc_id long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `n_tokens` and SHA-256 digests of the ids and of the decoded text."""
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = send(docs.sparkSession, Vocabulary(path))
     return texts(docs).mapInArrow(
         _digests(shared), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sharing import receive, send
 from .texts import bytes_of, kept, mix, pieces, strings, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -215,7 +216,7 @@ def _signed(x: int) -> int:
 def _count_contexts(bits):
     """Sum, per partition, how often each context of the filter precedes a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").view(bool)
+        table = np.unpackbits(np.frombuffer(receive(bits), np.uint8), bitorder="little").view(bool)
         held: list[np.ndarray] = []
         counts: list[np.ndarray] = []
 
@@ -282,7 +283,7 @@ def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     bits = bytearray(FILTER_BITS // 8)
     for part, piece in parts:
         bits[part * 4096 : part * 4096 + len(piece)] = piece
-    shared = spark.sparkContext.broadcast(bytes(bits))
+    shared = send(spark, bytes(bits))
     totals = _keyed(docs).select("text").mapInArrow(_count_contexts(shared), "pattern long, n long").groupBy(
         "pattern").agg(F.sum("n").alias("total"))
     patterns = kept(

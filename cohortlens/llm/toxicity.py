@@ -35,6 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sharing import receive, send
 from .texts import kept, pieces, strings, texts
 
 ORDER = 3
@@ -291,7 +292,7 @@ def _counted(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
 
 def _train_rows(model_kernel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(model_kernel.value)
+        reader = Reader(receive(model_kernel))
         for whole in batches:
             for batch in pieces(whole, "text"):
                 ids, rows = [], []
@@ -364,7 +365,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not names:
         return none
     kernel = Kernel(names)
-    shared = docs.sparkSession.sparkContext.broadcast(kernel)
+    shared = send(docs.sparkSession, kernel)
     rows = train.select("doc_id", "text").mapInArrow(_train_rows(shared), "doc_id long, row binary").collect()
     rows = sorted((r[0], bytes(r[1])) for r in rows)
     matrix = np.stack([np.frombuffer(r, np.float32) for _, r in rows])
@@ -373,7 +374,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model: Model = receive(shared)
         reader = Reader(model.kernel) if model.kernel else None
         for whole in batches:
             for batch in pieces(whole, "text"):
@@ -385,7 +386,7 @@ def _score(shared):
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`doc_id`, `held_out`, `score` and `predicted` of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    shared = send(docs.sparkSession, fit(docs, labels))
     found = texts(docs).mapInArrow(_score(shared), "doc_id long, text string, __tox double")
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__tox").alias("score"),
@@ -395,7 +396,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of `docs` that are not predicted toxic, all columns kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    shared = send(docs.sparkSession, fit(docs, labels))
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)), F.col("text").alias("text"))
     schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes) + ", __tox double"
