@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..codes import COURSE, HEADER, OPTION
 from ..functions.numbers import ratio
 from ..schemas import COURSE_KEY, GPA_METRICS
-from ..scale import Staged, lookup_join, stage
+from ..scale import stage
 from .courses import course_gpa
 from .matching import attach_metrics
 from .rollup import major_expected_gpa
@@ -28,6 +28,8 @@ PICK = [*GROUP, *COURSE_KEY, "title", "mean_gpa"]
 # Options per group that the exact solver sees at first; it asks for more if
 # they do not prove the optimum.
 FIRST_LOOK = 16
+# Values closer than this are equal.
+SAME = 1e-9
 
 
 def _hours() -> Column:
@@ -92,10 +94,11 @@ def option_conflicts(groups: DataFrame) -> DataFrame:
 
 
 class Assignment(NamedTuple):
-    """Group -> course, group -> profit at the final prices, and groups that got stuck."""
+    """Group -> course, group -> profit, course -> price, and groups that got stuck."""
 
     held: dict
     profit: dict
+    price: dict
     stuck: set
 
 
@@ -131,7 +134,7 @@ def assign(options: dict[object, list[tuple[object, float]]]) -> Assignment:
             while queue and queue[0][2] in seen:
                 heapq.heappop(queue)
             if not queue:
-                return Assignment({}, {}, {start} | {owner[c] for c in settled})
+                return Assignment({}, {}, {}, {start} | {owner[c] for c in settled})
             base, _, course = heapq.heappop(queue)
             seen.add(course)
             if course not in owner:
@@ -148,7 +151,33 @@ def assign(options: dict[object, list[tuple[object, float]]]) -> Assignment:
             if group == start:
                 break
             free = previous
-    return Assignment(held, {g: profit(g) for g in options}, set())
+    return Assignment(held, {g: profit(g) for g in options}, price, set())
+
+
+def first_of_best(options: dict[object, list[tuple[object, float]]], places: dict[object, dict], found: Assignment) -> dict:
+    """Of all assignments with the highest value the one whose first group has the first course, and so on.
+
+    `places` gives the place of a course within its group. Only courses that a
+    group may hold at the final prices can be part of such an assignment; each is
+    tried in turn until one keeps the value.
+    """
+    def worth(held: dict, offered: dict) -> float:
+        return sum(dict(offered[g])[c] for g, c in held.items())
+
+    best, fixed, current = worth(found.held, options), dict(options), found.held
+    for group in sorted(options):
+        tight = [
+            (c, v) for c, v in options[group] if v - found.price.get(c, 0.0) >= found.profit[group] - SAME
+        ]
+        for c, v in sorted(tight, key=lambda o: places[group][o[0]]):
+            if current[group] != c:
+                tried = assign(fixed | {group: [(c, v)]})
+                if tried.stuck or worth(tried.held, options) < best - SAME:
+                    continue
+                current = tried.held
+            fixed[group] = [(c, v)]
+            break
+    return current
 
 
 def _solve(rows: pd.DataFrame) -> pd.DataFrame:
@@ -158,38 +187,42 @@ def _solve(rows: pd.DataFrame) -> pd.DataFrame:
     """
     rows = rows.sort_values(["choice_group_id", "rank"])
     options: dict[object, list[tuple[object, float]]] = {}
+    places: dict[object, dict] = {}
     left_out: dict[object, float] = {}
-    for gid, course, value, rank, look in zip(
-        rows["choice_group_id"], rows["course"], rows["value"], rows["rank"], rows["look"]
+    for gid, course, value, place, rank, look in zip(
+        rows["choice_group_id"], rows["course"], rows["value"], rows["place"], rows["rank"], rows["look"]
     ):
         if rank > look:
             left_out[gid] = value
         else:
             options.setdefault(gid, []).append((course, value))
+            places.setdefault(gid, {})[course] = place
     found = assign(options)
     if found.stuck:
         short = {g for g in found.stuck if g in left_out}
     else:
-        short = {g for g, bound in left_out.items() if found.profit[g] < bound}
+        # An option left out that could be as good must be seen too, or ties would depend on the look.
+        short = {g for g, bound in left_out.items() if found.profit[g] <= bound + SAME}
     if short:
         marks = rows[rows["choice_group_id"].isin(short) & (rows["rank"] == 1)]
         return marks.assign(short=True)
-    taken = [found.held.get(g) == c for g, c in zip(rows["choice_group_id"], rows["course"])]
+    held = {} if found.stuck else first_of_best(options, places, found)
+    taken = [held.get(g) == c for g, c in zip(rows["choice_group_id"], rows["course"])]
     return rows[pd.Series(taken, index=rows.index) & (rows["rank"] <= rows["look"])].assign(short=False)
 
 
-def _options(matched: DataFrame, groups: DataFrame, majors: Staged) -> DataFrame:
+def _options(matched: DataFrame, groups: DataFrame, majors: DataFrame) -> DataFrame:
     """Options of the given majors, once per group and course, ranked by value in the group.
 
     Majors with fewer courses than groups have no solution and are left out, so
     what a major brings is bounded by the courses it offers.
     """
     rows = matched.where((F.col("row_type") == OPTION) & F.col("choice_group_id").isNotNull())
-    rows = lookup_join(rows, majors.df, ["major"], "left_semi", majors.rows)
+    rows = rows.join(majors, "major", "left_semi")
     rows = rows.groupBy(*GROUP, *COURSE_KEY).agg(
         F.min(F.struct(_order(matched).alias("o"), "title", "mean_gpa")).alias("v")
     )
-    hours = lookup_join(groups, majors.df, ["major"], "left_semi", majors.rows).select(*GROUP, "hours")
+    hours = groups.join(majors, "major", "left_semi").select(*GROUP, "hours")
     # Options without a full key are never the same course.
     course = F.when(
         F.expr("course_subject IS NOT NULL AND course_number IS NOT NULL"),
@@ -207,18 +240,21 @@ def _options(matched: DataFrame, groups: DataFrame, majors: Staged) -> DataFrame
         *GROUP, *COURSE_KEY, course.alias("course"), value.alias("value"),
         F.col("v.o").alias("o"), F.col("v.title").alias("title"), F.col("v.mean_gpa").alias("mean_gpa"),
     )
-    by_value = Window.partitionBy(*GROUP).orderBy(F.desc("value"), "o", "course")
-    ranked = stage(rows.withColumn("rank", F.row_number().over(by_value)).drop("o")).df
-    sizes = stage(
+    # Equal plans differ by their first group's place in the document, then by the key.
+    by_place = Window.partitionBy(*GROUP).orderBy("o", *COURSE_KEY)
+    by_value = Window.partitionBy(*GROUP).orderBy(F.desc("value"), "place")
+    ranked = rows.withColumn("place", F.row_number().over(by_place)).drop("o")
+    ranked = stage(ranked.withColumn("rank", F.row_number().over(by_value))).df
+    sizes = (
         ranked.groupBy("major")
         .agg(F.countDistinct("course").alias("n"), F.countDistinct("choice_group_id").alias("g"))
         .where("n >= g").select("major")
     )
-    return lookup_join(ranked, sizes.df, ["major"], "left_semi", sizes.rows)
+    return ranked.join(sizes, "major", "left_semi")
 
 
 def exact_picks(
-    matched: DataFrame, groups: DataFrame, majors: Staged, first_look: int = FIRST_LOOK
+    matched: DataFrame, groups: DataFrame, majors: DataFrame, first_look: int = FIRST_LOOK
 ) -> DataFrame:
     """Best picks without a repeated course for the given majors.
 
@@ -228,7 +264,7 @@ def exact_picks(
     """
     options = _options(matched, groups, majors)
     # The solver gets no titles or names: its picks are looked up again by rank.
-    todo = options.select(*GROUP, "course", "value", "rank").withColumn("look", F.lit(first_look))
+    todo = options.select(*GROUP, "course", "value", "place", "rank").withColumn("look", F.lit(first_look))
     names, done = todo.columns, None
     schema = T.StructType(todo.schema.fields).add("short", T.BooleanType())
     while True:
@@ -239,9 +275,9 @@ def exact_picks(
         short = stage(solved.where("short").select(*GROUP, (F.col("look") * 4).alias("longer")))
         if short.rows == 0:
             return options.join(done, [*GROUP, "rank"]).select(*PICK)
-        open_majors = stage(short.df.select("major").distinct())
-        again = lookup_join(todo, open_majors.df, ["major"], "left_semi", open_majors.rows)
-        again = lookup_join(again, short.df, GROUP, "left", short.rows)
+        open_majors = short.df.select("major").distinct()
+        again = todo.join(open_majors, "major", "left_semi")
+        again = again.join(short.df, GROUP, "left")
         todo = again.withColumn("look", F.coalesce("longer", "look")).select(*names)
 
 
@@ -253,9 +289,9 @@ def optimal_selections(matched: DataFrame, groups: DataFrame) -> DataFrame:
     conflicted = stage(option_conflicts(groups).select("major").distinct())
     if conflicted.rows == 0:
         return groups.select(*PICK, "hours")
-    easy = lookup_join(groups, conflicted.df, ["major"], "left_anti", conflicted.rows)
-    exact = exact_picks(matched, groups, conflicted)
-    hours = lookup_join(groups, conflicted.df, ["major"], "left_semi", conflicted.rows)
+    easy = groups.join(conflicted.df, "major", "left_anti")
+    exact = exact_picks(matched, groups, conflicted.df)
+    hours = groups.join(conflicted.df, "major", "left_semi")
     exact = exact.join(hours.select(*GROUP, "hours"), GROUP)
     return easy.select(*PICK, "hours").unionByName(exact.select(*PICK, "hours"))
 

@@ -28,46 +28,58 @@ def _empty(df: DataFrame, schema) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 
 
-def course_gpa(sections: DataFrame) -> DataFrame:
-    """Weighted mean GPA per course; `n_students` counts GPA-bearing sections only.
-
-    The weight is `Total`, or 1 per section if there is no such column.
-    """
-    if not _has(sections, REQUIRED_FOR_GPA):
-        return _empty(sections, COURSE_GPA)
-    sections = typed(sections)
-    weight = F.col("Total") if "Total" in sections.columns else F.lit(1).cast("bigint")
-    rows = (
-        with_course_key(sections)
-        .select(*COURSE_KEY, F.col("GPA").alias("g"), F.coalesce(weight, F.lit(0)).alias("w"))
-        .where("g IS NOT NULL AND course_subject IS NOT NULL AND course_number IS NOT NULL AND w > 0")
-    )
-    return rows.groupBy(*COURSE_KEY).agg(
-        (F.sum(F.col("g") * F.col("w")) / F.sum("w")).alias("mean_gpa"),
-        F.sum("w").alias("n_students"),
-    )
-
-
-def course_stats(sections: DataFrame) -> DataFrame:
-    """Weighted GPA, failure and drop rate per course over sections with students."""
-    if not _has(sections, REQUIRED_FOR_STATS):
-        return _empty(sections, COURSE_STATS)
+def course_sums(sections: DataFrame) -> DataFrame:
+    """Sums per course over sections with students: what both course tables are made of."""
     rows = with_course_key(typed(sections)).where(
         "course_subject IS NOT NULL AND course_number IS NOT NULL AND Total > 0"
     )
-    graded = F.when(F.col("GPA").isNotNull(), F.col("Total"))
+    graded = F.col("GPA").isNotNull()
 
     def total(c: str | Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0))
 
     return rows.groupBy(*COURSE_KEY).agg(
-        ratio(F.sum(F.col("GPA") * F.col("Total")), F.sum(graded)).alias("mean_gpa"),
-        ratio(total("F"), total("Total_A_F")).alias("fail_rate"),
-        ratio(total("Q") + total("X"), F.sum("Total")).alias("drop_rate"),
+        F.sum(F.col("GPA") * F.col("Total")).alias("points"),
+        total(F.when(graded, F.col("Total"))).cast("bigint").alias("graded"),
+        total("F").alias("failed"), total("Total_A_F").alias("rated"),
+        (total("Q") + total("X")).alias("dropped"),
         F.sum("Total").cast("bigint").alias("n_students"),
     )
 
 
+def gpa_of_sums(sums: DataFrame) -> DataFrame:
+    """Weighted mean GPA per course; `n_students` counts GPA-bearing sections only."""
+    return sums.where("graded > 0").select(
+        *COURSE_KEY, (F.col("points") / F.col("graded")).alias("mean_gpa"), F.col("graded").alias("n_students")
+    )
+
+
+def stats_of_sums(sums: DataFrame) -> DataFrame:
+    """Weighted GPA, failure and drop rate per course."""
+    return sums.select(
+        *COURSE_KEY, ratio("points", "graded").alias("mean_gpa"), ratio("failed", "rated").alias("fail_rate"),
+        ratio("dropped", "n_students").alias("drop_rate"), "n_students",
+    )
+
+
+def course_gpa(sections: DataFrame) -> DataFrame:
+    """Weighted mean GPA per course; the weight is `Total`, or 1 per section if there is no such column."""
+    if not _has(sections, REQUIRED_FOR_GPA):
+        return _empty(sections, COURSE_GPA)
+    if "Total" not in sections.columns:
+        sections = sections.withColumn("Total", F.lit(1).cast("bigint"))
+    for c in REQUIRED_FOR_STATS - set(sections.columns):
+        sections = sections.withColumn(c, F.lit(0).cast("bigint"))
+    return gpa_of_sums(course_sums(sections))
+
+
+def course_stats(sections: DataFrame) -> DataFrame:
+    """Weighted GPA, failure and drop rate per course over sections with students."""
+    if not _has(sections, REQUIRED_FOR_STATS):
+        return _empty(sections, COURSE_STATS)
+    return stats_of_sums(course_sums(sections))
+
+
 def weighted_courses(sections: DataFrame, min_students: int = 200) -> DataFrame:
     """Weighted GPA (two digits) of courses with at least `min_students` students."""
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..codes import GRID_COLUMNS, NOISE_KEYWORDS
 from ..functions.numbers import whole_number
 from ..functions.text import blank_to_null, keyword_hit
-from ..scale import Staged, lookup_join, stage
+from ..scale import stage
 
 TABLE = ["source_file", "table_idx"]
 
@@ -17,7 +17,7 @@ def blank_cells_to_null(grid: DataFrame) -> DataFrame:
     return grid.withColumn("cells", F.transform("cells", lambda c: blank_to_null(c)))
 
 
-def table_extents(grid: DataFrame) -> Staged:
+def table_extents(grid: DataFrame) -> DataFrame:
     """Per table: first and last column with content, and the width of the file.
 
     Tables without content have no row. Rows are reduced to two numbers before
@@ -29,9 +29,9 @@ def table_extents(grid: DataFrame) -> Staged:
     edges = grid.select(
         *TABLE, F.array_min(filled).alias("lo"), F.array_max(filled).alias("hi")
     ).where("lo IS NOT NULL")
-    tables = stage(edges.groupBy(*TABLE).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    files = tables.df.groupBy("source_file").agg(F.max(F.col("hi") - F.col("lo") + 1).alias("width"))
-    return Staged(tables.df.join(files, "source_file"), tables.rows)
+    tables = stage(edges.groupBy(*TABLE).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))).df
+    files = tables.groupBy("source_file").agg(F.max(F.col("hi") - F.col("lo") + 1).alias("width"))
+    return tables.join(files, "source_file")
 
 
 def trim_and_pad(grid: DataFrame) -> DataFrame:
@@ -41,8 +41,7 @@ def trim_and_pad(grid: DataFrame) -> DataFrame:
     Columns line up by position; the order is `table_idx`, `row_idx`.
     """
     clean = blank_cells_to_null(grid)
-    extents = table_extents(clean)
-    fitted = lookup_join(clean, extents.df, TABLE, "inner", extents.rows)
+    fitted = clean.join(table_extents(clean), TABLE)
     span = F.col("hi") - F.col("lo") + 1
     kept = F.slice("cells", F.col("lo") + 1, span)
     # A short row of a ragged table is padded like a narrow table.

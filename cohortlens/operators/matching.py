@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..codes import SUBJECT_ALIASES
 from ..schemas import COURSE_KEY
-from ..scale import lookup_join, stage
 
 
 def with_aliases(
@@ -56,9 +55,6 @@ def attach_metrics(
     metrics: DataFrame,
     names: list[str],
     aliases: dict[str, list[str]] | None = None,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Left-join course metrics onto plan rows by (subject, number)."""
-    lookup = stage(with_aliases(metrics, names, aliases))
-    joined = lookup_join(plan, lookup.df, COURSE_KEY, "left", lookup.rows, broadcast_rows)
-    return joined.select(*plan.columns, *names)
+    """Left-join course metrics onto plan rows by (subject, number); the plan is read once."""
+    return plan.join(with_aliases(metrics, names, aliases), COURSE_KEY, "left").select(*plan.columns, *names)

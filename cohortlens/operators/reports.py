@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import GPA_METRICS
+from ..scale import stage
+from ..schemas import GPA_METRICS, STAT_METRICS
 from ..sources.files import read_partitioned
 from ..sources.tables import export_plan_rows, export_result, export_sections
 from .association import mixed_associations, phik_pairs, rounded, spearman_pairs, top_pairs
 from .choice import compare_with_baseline, optimize_plans
-from .courses import course_gpa, instructor_report
+from .courses import (
+    course_sums, easiest_courses, gpa_of_sums, hardest_courses, instructor_report, kpi_summary, stats_of_sums, yearly_trend,
+)
 from .matching import attach_metrics
-from .rollup import difficulty_index, major_expected_gpa, ranked
+from .rollup import difficulty_score, major_expected_gpa, major_rates, ranked
 from .sections import for_correlation
 
 # Report queries over the views of `register_views`.
@@ -28,32 +31,9 @@ REPORTS = {
     "difficulty_index": """
         SELECT major, expected_gpa, avg_fail_rate, avg_drop_rate, difficulty_score
         FROM major_difficulty_index ORDER BY difficulty_score DESC NULLS LAST, major""",
-    "kpis": """
-        SELECT count(*) AS total_grade_rows, CAST(sum(Total) AS BIGINT) AS total_students_graded,
-               count(DISTINCT Class_Code) AS distinct_courses,
-               min(try_cast(Year AS INT)) AS earliest_year, max(try_cast(Year AS INT)) AS latest_year
-        FROM grade_distributions WHERE try_cast(Year AS INT) IS NOT NULL""",
-    "hardest_courses": """
-        SELECT Class_Code AS class_code,
-               CAST(round(CAST(sum(GPA * Total) / sum(Total) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS weighted_gpa,
-               CAST(sum(Total) AS BIGINT) AS n_students
-        FROM grade_distributions WHERE GPA IS NOT NULL AND Total IS NOT NULL
-        GROUP BY Class_Code HAVING sum(Total) >= 200
-        ORDER BY weighted_gpa, class_code LIMIT 10""",
-    "easiest_courses": """
-        SELECT Class_Code AS class_code,
-               CAST(round(CAST(sum(GPA * Total) / sum(Total) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS weighted_gpa,
-               CAST(sum(Total) AS BIGINT) AS n_students
-        FROM grade_distributions WHERE GPA IS NOT NULL AND Total IS NOT NULL
-        GROUP BY Class_Code HAVING sum(Total) >= 200
-        ORDER BY weighted_gpa DESC, class_code LIMIT 10""",
-    "yearly_trend": """
-        SELECT try_cast(Year AS INT) AS Year,
-               CAST(round(CAST(sum(GPA * Total) / nullif(sum(Total), 0) AS DECIMAL(28, 9)), 3) AS DOUBLE) AS weighted_gpa
-        FROM grade_distributions
-        WHERE GPA IS NOT NULL AND Total IS NOT NULL AND try_cast(Year AS INT) IS NOT NULL
-        GROUP BY try_cast(Year AS INT) ORDER BY Year""",
 }
+# Reports that are computed from the section view when asked for.
+LIVE = {"kpis": kpi_summary, "hardest_courses": hardest_courses, "easiest_courses": easiest_courses, "yearly_trend": yearly_trend}
 
 RESULTS = ["major_expected_gpa", "optimizer_comparison", "optimizer_selections", "major_difficulty_index"]
 
@@ -62,14 +42,17 @@ def analyse(
     plan: DataFrame, sections: DataFrame, aliases: dict[str, list[str]] | None = None
 ) -> dict[str, DataFrame]:
     """Ranking, comparison, selections and difficulty index."""
-    matched = attach_metrics(plan, course_gpa(sections), GPA_METRICS, aliases)
+    # One pass over the sections serves both course tables.
+    sums = stage(course_sums(sections)).df
+    matched = stage(attach_metrics(plan, gpa_of_sums(sums), GPA_METRICS, aliases)).df
+    rated = attach_metrics(plan, stats_of_sums(sums), STAT_METRICS, aliases)
     ranking = ranked(major_expected_gpa(matched))
     summary, selections = optimize_plans(matched)
     return {
         "major_expected_gpa": ranking,
         "optimizer_comparison": compare_with_baseline(summary, ranking),
         "optimizer_selections": selections,
-        "major_difficulty_index": difficulty_index(plan, sections, aliases),
+        "major_difficulty_index": difficulty_score(stage(major_rates(rated)).df),
     }
 
 
@@ -118,5 +101,5 @@ def create_tables(spark: SparkSession, schema: str, frames: dict[str, DataFrame]
 
 
 def report(spark: SparkSession, name: str) -> DataFrame:
-    """One of `REPORTS` over the registered views."""
-    return spark.sql(REPORTS[name])
+    """One of `REPORTS` or `LIVE` over the registered views."""
+    return LIVE[name](spark.table("grade_distributions")) if name in LIVE else spark.sql(REPORTS[name])

@@ -2,53 +2,70 @@
 
 * `stage` cuts lineage with a table written to the shared folder of the
   cluster, so a result used several times is computed once and survives the
-  loss of executors.
-* `lookup_join` joins facts to a lookup. It broadcasts only a lookup that was
-  counted and found small; otherwise the keys that hold a large share of the
-  facts get a join of their own.
+  loss of executors. `workspace` owns such tables and deletes them.
 * `running_totals` is a prefix sum that does not put a whole key in one task.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
+import contextlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextvars import ContextVar
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Rows of a lookup that may be sent to every executor. Lookups hold a few
-# scalar columns, so this stays within some tens of megabytes.
-BROADCAST_ROWS = 300_000
-# A key is hot when it holds at least 1/HOT_SHARE of the facts; there can be
-# at most HOT_SHARE such keys, which bounds what `lookup_join` broadcasts.
-HOT_SHARE = 500
-# Rows of one ordered key that a single window may sort.
-WINDOW_ROWS = 2_000_000
-# Ranges that `running_totals` cuts a larger key into.
-RANGES = 128
+# Rows that one range of `running_totals` holds on average, and ranges at least.
+RANGE_ROWS = 1_000_000
+LEAST_RANGES = 4
 
-_local_folder: str | None = None
+_scope: ContextVar[str | None] = ContextVar("workspace", default=None)
+_unowned: list[tuple[SparkSession, str]] = []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below `spark.checkpoint.dir`; a temporary one if unset."""
+def shared_root(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`, which all executors reach; the warehouse where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = _fallback_folder(spark)
-    return f"{root.rstrip('/')}/cohortlens-{uuid.uuid4().hex}"
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder of the open `workspace`, or one that goes when the program ends."""
+    owner = _scope.get()
+    path = f"{owner or shared_root(spark)}/cohortlens-{uuid.uuid4().hex}"
+    if owner is None:
+        if not _unowned:
+            atexit.register(_remove_unowned)
+        _unowned.append((spark, path))
+    return path
+
 
+@contextlib.contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside are deleted on leaving, so write the result before that."""
+    path = f"{shared_root(spark)}/cohortlens-{uuid.uuid4().hex}"
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        remove_folder(spark, path)
 
-def _fallback_folder(spark: SparkSession) -> str:
-    global _local_folder
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="cohortlens-")
-    return os.path.abspath(_local_folder)
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _remove_unowned() -> None:
+    for spark, path in _unowned:
+        # A session that has been stopped can no longer reach its files.
+        with contextlib.suppress(Exception):
+            remove_folder(spark, path)
 
 
 class Staged(NamedTuple):
@@ -67,45 +84,6 @@ def stage(df: DataFrame) -> Staged:
     return Staged(back, seen.get["rows"])
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str,
-    rows: int,
-    broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Equi-join `facts` with `lookup` on `on`.
-
-    `lookup` has at most one row per key and `rows` rows in all; `how` is "left",
-    "inner", "left_semi" or "left_anti".
-    """
-    on = list(on)
-    if rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
-        return facts.join(F.broadcast(lookup), on, how)
-
-    has_key = _all_set(on)
-    per_key = stage(facts.where(has_key).groupBy(*on).agg(F.count("*").alias("_rows"))).df
-    total = per_key.agg(F.sum("_rows").alias("n")).scalar()
-    hot = stage(per_key.where(F.col("_rows") * HOT_SHARE >= total).select(*on)).df
-    hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")
-
-    # A row without a key matches nothing: it takes the road of the hot keys,
-    # which moves no facts, instead of piling up in one shuffle partition.
-    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
-    apart = F.col("_hot").isNotNull() | ~has_key
-    busy = marked.where(apart).drop("_hot").join(F.broadcast(hot_lookup), on, how)
-    calm = marked.where(~apart).drop("_hot").join(lookup, on, how)
-    return calm.unionByName(busy)
-
-
-def _all_set(columns: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 def running_totals(
     table: Staged,
     keys: Sequence[str],
@@ -113,37 +91,31 @@ def running_totals(
     value: str,
     out: str,
     scale_by: Sequence[str] | None = None,
-    window_rows: int | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add `out`: the sum of `value` over rows of the same key before this one.
 
-    `table` has one row per (`keys`, `order`). If it fits one window it takes the
-    direct road. A larger one is cut into ranges of `order`: each range is summed
-    on its own and shifted by the ranges before it, so the work of the largest
-    key spreads over many tasks. `scale_by` (default: the first key) are the keys
-    whose values of `order` differ in scale; they must be few.
+    `table` has one row per (`keys`, `order`). It is cut into ranges of `order`, as
+    many as its rows ask for: each range is summed on its own and shifted by the
+    ranges before it, so the work of the largest key spreads over many tasks.
+    `scale_by` (default: the first key) are the keys whose values of `order`
+    differ in scale; they must be few.
     """
     keys, df = list(keys), table.df
     before = (Window.unboundedPreceding, -1)
-    if table.rows <= (WINDOW_ROWS if window_rows is None else window_rows):
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*before)
-        return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
-
-    cuts = [i / RANGES for i in range(1, RANGES)]
+    ranges = max(LEAST_RANGES, -(-table.rows // range_rows))
+    cuts = [i / ranges for i in range(1, ranges)]
     scale_by = list(scale_by or keys[:1])
-    # RANGES cut points for each of a few scales, such as a pair of columns.
-    bounds = df.groupBy(*scale_by).agg(F.percentile_approx(order, cuts, 10_000).alias("_b"))
-    ranged = df.join(F.broadcast(bounds), scale_by)
+    bounds = df.groupBy(*scale_by).agg(F.percentile_approx(order, cuts, max(10_000, 20 * ranges)).alias("_b"))
+    ranged = df.join(bounds, scale_by)
     ranged = ranged.withColumn("_r", F.size(F.filter("_b", lambda b: b < F.col(order)))).drop("_b")
     ranged = stage(ranged).df
     per_range = ranged.groupBy(*keys, "_r").agg(F.sum(value).alias("_n"))
     across = Window.partitionBy(*keys).orderBy("_r").rowsBetween(*before)
-    shift = stage(
-        per_range.select(*keys, "_r", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_shift"))
-    )
+    shift = per_range.select(*keys, "_r", F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_shift"))
     inside = Window.partitionBy(*keys, "_r").orderBy(order).rowsBetween(*before)
     return (
-        lookup_join(ranged, shift.df, [*keys, "_r"], "inner", shift.rows)
+        ranged.join(shift, [*keys, "_r"])
         .withColumn(out, F.col("_shift") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .drop("_r", "_shift")
     )

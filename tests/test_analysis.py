@@ -34,8 +34,7 @@ def test_missing_columns_give_typed_empty_frames(spark):
     assert courses.course_stats(s).schema == schemas.COURSE_STATS
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_alias_fallback(spark, rows, limit):
+def test_alias_fallback(spark, rows):
     stats = spark.createDataFrame(
         [
             ("PSYC", "1", 3.0, 0.1, 0.2, 10), ("PBSI", "2", 2.0, 0.3, 0.4, 20), ("PBSI", "3", None, 0.5, 0.6, 30),
@@ -48,7 +47,7 @@ def test_alias_fallback(spark, rows, limit):
         + [("M", "requirement_block", 1, None, None, "t", 3.0)],
         PLAN,
     )
-    out = matching.attach_metrics(plan, stats, schemas.STAT_METRICS, broadcast_rows=limit)
+    out = matching.attach_metrics(plan, stats, schemas.STAT_METRICS)
     got = {(r.course_subject, r.course_number): (r.mean_gpa, r.fail_rate, r.drop_rate, r.n_students) for r in out.collect()}
     none = (None,) * 4
     assert got == {

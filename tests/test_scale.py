@@ -1,39 +1,34 @@
-"""The hot-key road and the ranged prefix sum give the same rows as the direct roads."""
+"""Prefix sums over ranges, and staged tables that go when their owner is done."""
+
+import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from cohortlens.scale import lookup_join, running_totals, stage
-
-
-@pytest.fixture(scope="module")
-def tables(spark):
-    keys = [("hot",)] * 2000 + [(f"k{i}",) for i in range(900)] + [(None,)] * 1000
-    facts = spark.createDataFrame(keys, "key string").withColumn("v", F.monotonically_increasing_id())
-    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("other", 4)], "key string, w int")
-    return facts, lookup
-
+from cohortlens.scale import running_totals, stage, workspace
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup_join(tables, rows, how):
-    facts, lookup = tables
-    direct = lookup_join(facts, lookup, ["key"], how, rows=4)
-    hot = lookup_join(facts, lookup, ["key"], how, rows=4, broadcast_rows=0)
-    assert direct.columns == hot.columns and rows(direct) == rows(hot)
-    assert "SortMergeJoin" in hot._jdf.queryExecution().toString() or "ShuffledHashJoin" in hot._jdf.queryExecution().toString()
 
-
-def test_running_totals(spark, rows):
+@pytest.mark.parametrize("range_rows", [10, 1_000_000])
+def test_running_totals(spark, rows, range_rows):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"), (F.col("id") * 7 % 3001).cast("double").alias("o"), (F.col("id") % 5).alias("n")
     )
     table = stage(df)
     assert table.rows == 3000
-    direct = running_totals(table, ["g"], "o", "n", "before")
-    ranged = running_totals(table, ["g"], "o", "n", "before", window_rows=10)
+    before = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    direct = df.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranged = running_totals(table, ["g"], "o", "n", "before", range_rows=range_rows)
     assert rows(direct) == rows(ranged.select(*direct.columns))
 
 
 def test_stage_of_nothing(spark):
     table = stage(spark.range(5).where("id > 9"))
     assert table.rows == 0 and table.df.count() == 0
+
+
+def test_a_workspace_deletes_what_was_staged_inside(spark):
+    with workspace(spark) as folder:
+        assert stage(spark.range(5)).df.count() == 5
+        assert os.listdir(folder)
+    assert not os.path.exists(folder)
