@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,17 +12,12 @@ from .numbers import _col
 
 # \s leaves out the non-breaking space, so the class names it.
 BLANKS = r"[\s\x{00a0}]+"
-COURSE_CODE = r"^([A-Za-z]+)\s*(\d[\dA-Za-z]*)$"
-HOURS_RANGE = r"(\d+(?:\.\d+)?)\s*-\s*(\d+(?:\.\d+)?)"
-HOURS_SINGLE = r"(\d+(?:\.\d+)?)"
-
-# Named character references found in plan documents.
-ENTITIES = {
-    "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
-    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
-    "ldquo": "“", "rdquo": "”", "hellip": "…", "middot": "·",
-    "eacute": "é", "copy": "©", "reg": "®", "frac12": "½",
-}
+# Formats: a course code is letters, then a number that may end in letters; hours
+# are one number or two with a dash between them.
+NUMBER = r"\d+(?:\.\d+)?"
+COURSE_CODE = r"^(\p{Alpha}+)\s*(\d\p{Alnum}*)$"
+HOURS_RANGE = rf"({NUMBER})\s*-\s*({NUMBER})"
+HOURS_SINGLE = rf"({NUMBER})"
 
 
 def match(c: Column, pattern: str, group: int = 1) -> Column:
@@ -91,39 +89,40 @@ def query_value(href: Column | str, name: str) -> Column:
     return _let(match(_col(href), pattern), lambda raw: F.trim(F.coalesce(F.try_url_decode(raw), raw)))
 
 
-def _characters(c: Column) -> Column:
-    """Decimal references: split around them and put the decoded characters back."""
-    codes = F.regexp_extract_all(c, F.lit(r"&#([0-9]{2,6});"), F.lit(1))
-    chars = F.transform(
-        codes, lambda d: F.decode(F.unhex(F.lpad(F.hex(d.cast("bigint")), 8, "0")), "UTF-32")
-    )
-    woven = F.zip_with(
-        F.split(c, r"&#[0-9]{2,6};"), chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))
-    )
-    return F.when(F.contains(c, F.lit("&#")), F.array_join(woven, "")).otherwise(c)
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# All names of the public list, as a constant that is parsed once per plan.
+_NAMES = json.dumps({name[:-1]: char for name, char in html5.items() if name.endswith(";")})
+
+
+def _character(ref: Column) -> Column:
+    """The character of a reference without `&` and `;`; unknown names stay as they are."""
+    code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7)).cast("int")
+    code = F.when((code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF), code).otherwise(0xFFFD)
+    numeric = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
+    named = F.try_element_at(F.from_json(F.lit(_NAMES), "map<string,string>"), ref)
+    return F.when(F.startswith(ref, F.lit("#")), numeric).otherwise(F.coalesce(named, F.concat(F.lit("&"), ref, F.lit(";"))))
 
 
 def _references(c: Column) -> Column:
-    for name, char in ENTITIES.items():
-        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    """Split around the references and put their characters between the parts."""
+    chars = F.transform(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(1)), _character)
+    woven = F.zip_with(F.split(c, REFERENCE), chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit(""))))
+    return F.array_join(woven, "")
 
 
 def unescape(c: Column | str) -> Column:
-    """Replace character references by their characters, `&amp;` last."""
+    """Replace character references by their characters, each once."""
 
     def decode(x: Column) -> Column:
-        return F.when(F.contains(x, F.lit("&")), _references(_let(x, _characters))).otherwise(x)
+        return F.when(F.contains(x, F.lit("&")), _references(x)).otherwise(x)
 
     return _let(_col(c), decode)
 
 
 def attribute(tag: Column | str, name: str) -> Column:
-    """Value of a quoted attribute in the text of an open tag, decoded; null if absent."""
-    pattern = rf"""(?is)(?:^|[\s"']){name}\s*=\s*("[^"]*"|'[^']*')"""
-    return _let(
-        match(_col(tag), pattern), lambda q: unescape(F.substring(q, F.lit(2), F.length(q) - 2))
-    )
+    """Value of an attribute in the text of an open tag, quoted or not, decoded; null if absent."""
+    pattern = rf"""(?is)(?:^|[\s"']){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    return _let(match(_col(tag), pattern), lambda q: unescape(F.regexp_replace(q, "^[\"']|[\"']$", "")))
 
 
 EDGES = " \t\r\n\f\u000b\u00a0"

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from .catalog import NOMINAL, NUMERIC
-from .functions.text import ENTITIES
+
+# Character references in the test pages, apart from the library's own list.
+ENTITIES = {
+    "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "middot": "·", "#8211": "–", "eacute": "é",
+}
 
 # Domain tables over the test tables.
 RAW = """
@@ -118,7 +122,7 @@ FROM offers f JOIN opt t ON t.major = f.major AND t.choice_group_id = f.choice_g
 # Groups that share a course with another group of their major are enumerated;
 # all others take their best option.
 BEST = GROUPS.replace("WITH", "", 1) + """,
-keys AS (SELECT DISTINCT major, choice_group_id, concat(course_subject, '|', course_number) AS course, value FROM offers),
+keys AS (SELECT DISTINCT major, choice_group_id, concat(course_subject, chr(1), course_number) AS course, value FROM offers),
 shared AS (SELECT major, course FROM keys GROUP BY ALL HAVING count(DISTINCT choice_group_id) > 1),
 tangled AS (
 SELECT major, choice_group_id, row_number() OVER (PARTITION BY major ORDER BY choice_group_id) AS idx
@@ -415,6 +419,20 @@ SELECT major, choice_group_id, hours, n_options, n_matched, course_subject, cour
 SELECT major, course_subject, course_number, count(*) AS n_groups FROM groups GROUP BY ALL HAVING count(*) > 1""",
     "optimal_plan": f"""WITH RECURSIVE {BEST}
 SELECT major, {_round(['optimal_expected_gpa', 'matched_credit_hours'])}, num_choice_groups FROM best""",
+    "optimal_selections": f"""WITH RECURSIVE {BEST},
+paths AS (
+SELECT w.major, w.used FROM walk w JOIN last_step l ON l.major = w.major AND l.n = w.idx
+QUALIFY row_number() OVER (PARTITION BY w.major ORDER BY round(w.v, 9) DESC, w.used) = 1),
+picked AS (
+SELECT o.major, o.choice_group_id, o.course_subject, o.course_number, o.title, o.mean_gpa
+FROM paths p JOIN tangled t ON t.major = p.major JOIN offers o ON o.major = t.major AND o.choice_group_id = t.choice_group_id
+ AND concat(o.course_subject, chr(1), o.course_number) = list_extract(p.used, t.idx)
+QUALIFY row_number() OVER (PARTITION BY o.major, o.choice_group_id ORDER BY o.title NULLS FIRST, o.mean_gpa NULLS FIRST) = 1
+UNION ALL
+SELECT r.major, r.choice_group_id, r.course_subject, r.course_number, r.title, r.mean_gpa
+FROM groups r LEFT JOIN tangled t ON t.major = r.major AND t.choice_group_id = r.choice_group_id WHERE t.idx IS NULL)
+SELECT p.major, p.choice_group_id, course_subject, course_number, title, {_r('mean_gpa')} AS mean_gpa
+FROM picked p SEMI JOIN best b ON b.major = p.major""",
     "optimizer_comparison": f"""WITH RECURSIVE {BEST}
 SELECT b.major, {_r('optimal_expected_gpa')} AS optimal_expected_gpa, {_r('b.matched_credit_hours')} AS matched_credit_hours, num_choice_groups,
        {_r('r.expected_gpa')} AS baseline_expected_gpa, {_r('optimal_expected_gpa - r.expected_gpa')} AS gpa_uplift

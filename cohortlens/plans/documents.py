@@ -18,20 +18,22 @@ from ..functions.text import (
 from ..schemas import PLAN_ROWS
 
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-GRID_TABLE = (
-    r"""(?is)<table\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?sc_plangrid(?:\s[^"']*)?["'][^>]*>(.*?)</table>"""
-)
+
+
+def with_class(tag: str, name: str) -> str:
+    """Pattern of an open tag with a class, in quotes of either kind or none."""
+    values = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in "\"'"]
+    return rf"""(?is)<{tag}\b[^>]*\sclass\s*=\s*(?:{values[0]}|{values[1]}|{name}(?=[\s>]))[^>]*>"""
+
+
+GRID_OPEN = with_class("table", "sc_plangrid")
 # An element ends at its end tag, or where the next of its kind or its parent's end is.
 ROW = r"(?is)<tr\b[^>]*>.*?(?=</tr>|<tr\b|$)"
 CELL = r"(?is)<td\b[^>]*>.*?(?=</td>|<td\b|<th\b|$)"
 HEAD_CELL = r"(?is)<th\b[^>]*>.*?(?=</th>|<t[hd]\b|$)"
-INDENT = (
-    r"""(?is)<div\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?blockindent(?:\s[^"']*)?["'][^>]*>(.*?)(?:</div>|$)"""
-)
+INDENT = with_class("div", "blockindent") + r"(.*?)(?:</div>|$)"
 LINK = r"(?is)<a\b([^>]*)>(.*?)(?:</a>|$)"
-NOTES = (
-    r"""(?is)<dl\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?sc_footnotes(?:\s[^"']*)?["'][^>]*>(.*?)</dl>"""
-)
+NOTES = with_class("dl", "sc_footnotes") + r"(.*?)(?:</dl>|$)"
 TERM = r"(?is)<dt\b[^>]*>(.*?)(?=</dt>|<d[td]\b|$)"
 TEXT = r"(?is)<dd\b[^>]*>(.*?)(?=</dd>|<d[td]\b|$)"
 
@@ -40,11 +42,37 @@ def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
+def _grid_markup(page: Column) -> Column:
+    """What lies inside the plan grids of a page.
+
+    The page is cut before every table tag and the depth of tables is carried
+    along. A table inside a cell is text of that cell: its rows and cells are no
+    rows and cells of the grid. A grid that is never closed ends with the page.
+    """
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
+        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
+        at = (
+            F.when(opens & (state["at"] == 0) & piece.rlike("^" + GRID_OPEN), depth)
+            .when(closes & (state["at"] > 0) & (state["depth"] == state["at"]), 0)
+            .otherwise(state["at"])
+        )
+        body = F.regexp_replace(piece, r"(?is)^</?table\b[^>]*>", "")
+        inner_text = F.regexp_replace(body, r"(?is)</?t(?:r|d|h|body|head|foot)\b[^>]*>", "<br>")
+        seen = F.when((at > 0) & (depth == at), body).when((at > 0) & (depth > at), F.concat(F.lit("<br>"), inner_text))
+        out = F.when(seen.isNotNull(), F.concat(state["out"], F.array(seen))).otherwise(state["out"])
+        return F.struct(depth.cast("int").alias("depth"), at.cast("int").alias("at"), out.alias("out"))
+
+    pieces = F.split(page, r"(?i)(?=</?table\b)")
+    return F.array_join(F.aggregate(pieces, start, step, lambda state: state["out"]), "")
+
+
 def table_rows(pages: DataFrame) -> DataFrame:
     """(major, pos, tr): rows of all plan grids of a page, in document order."""
     seen = F.regexp_replace("html", UNSEEN, "")
-    grids = F.array_join(all_matches(seen, GRID_TABLE, 1), "")
-    return pages.select("major", F.posexplode(all_matches(grids, ROW)).alias("pos", "tr"))
+    return pages.select("major", F.posexplode(all_matches(_grid_markup(seen), ROW)).alias("pos", "tr"))
 
 
 def _first_head(tr: Column) -> Column:

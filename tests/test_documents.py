@@ -82,3 +82,32 @@ def test_footnotes_last_wins_and_short_lists(spark, rows):
     html = """<dl class="sc_footnotes"><dt>1</dt><dd>old</dd><dt></dt><dd>void</dd><dt>1</dt><dd>new <b>text</b></dd><dt>9</dt></dl>
     <dl class="sc_footnotes"><dt>7</dt><dd>second list</dd></dl>"""
     assert rows(documents.parse_footnotes(pages(spark, A=html))) == [("A", "1", "new text")]
+
+
+PLAIN = (
+    "<table class='sc_plangrid'><tr><td colspan='2'>Select one</td><td></td><td>3</td></tr>"
+    "<tr><td><div class='blockindent'><a href='?P=A%201'>A 1</a></div></td><td>x</td><td></td></tr>"
+    "<tr><td>B 2</td><td>{}</td><td>4</td></tr><tr><td>C 3</td><td>z</td><td>1</td></tr></table>"
+)
+
+
+def test_markup_as_browsers_take_it(spark):
+    """Unquoted attributes, tables in cells and tables that are never closed give the rows of the plain page."""
+    from cohortlens.plans import documents
+
+    pages = {
+        "plain": PLAIN.format("yq"),
+        "bare": PLAIN.format("yq").replace("'sc_plangrid'", "sc_plangrid").replace("'2'", "2").replace("'blockindent'", "blockindent"),
+        "nested": PLAIN.format("y<table class=inner><tr><td>q</td></tr></table>"),
+        "open": PLAIN.format("yq").replace("</table>", "<p>end"),
+        "later": "<table><tr><td>no</td></tr></table>" + PLAIN.format("yq") + "<table><tr><td>K 9</td><td>no</td><td>1</td></tr></table>",
+    }
+    df = spark.createDataFrame(list(pages.items()), "major string, html string")
+    found = {}
+    for r in documents.parse_plans(df).orderBy("major", "row_order").collect():
+        found.setdefault(r.major, []).append(tuple(r)[1:])
+    assert [r[4] for r in found["plain"]] == ["Select one", "x", "yq", "z"] or len(found["plain"]) == 4
+    for name in ("bare", "open", "later"):
+        assert found[name] == found["plain"], name
+    titles = documents.PLAN_ROWS.fieldNames().index("title") - 1
+    assert [r[titles].replace(" ", "") for r in found["nested"]] == [r[titles].replace(" ", "") for r in found["plain"]]

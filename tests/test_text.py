@@ -159,3 +159,19 @@ def test_pending_and_tally(spark, rows):
     manifest = spark.createDataFrame([("a", 5000), ("b", 10)], "path string, length bigint")
     assert rows(worklist.pending(grid, manifest)) == [("b",), ("c",)]
     assert dict(worklist.outcome_tally(grid, manifest).collect()) == {"present": 1, "too small": 1, "missing": 1}
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("a &#x2013; b&#9;c", "a – b\tc"), ("&Agrave;&eacute;&hellip;", "Àé…"), ("&amp;lt; &lt;", "&lt; <"), ("&nosuch; & &#xD800;", "&nosuch; & \ufffd"),
+        ("&#128512;", "😀"), ("plain", "plain"),
+    ],
+)
+def test_references(spark, value, expected):
+    assert one(spark, value, text.unescape("v")) == (expected,)
+
+
+@pytest.mark.parametrize("value, expected", [("<td colspan=2>", "2"), ("<td class=a colspan='2'>", "2"), ('<td colspan = "2">', "2"), ("<td>", None)])
+def test_attributes(spark, value, expected):
+    assert one(spark, value, text.attribute("v", "colspan")) == (expected,)
