@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scale import remove_folder, stage
 from ..sources.tables import align
 
 
+# Columns of a listing; the content is never read.
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+REJECTED = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("length", T.LongType()), T.StructField("reason", T.StringType()),
+])
+
+
 def ingest_files(
     spark: SparkSession,
     folder: str,
@@ -21,23 +29,54 @@ def ingest_files(
 ) -> DataFrame:
     """Take in all files of `folder` not seen before and return the target table.
 
-    `clean` turns raw rows into typed rows. The checkpoint remembers which files
-    were taken. Each batch writes a folder of its own, replaced if the batch is
-    run again, so a file counts once even after a failure.
+    `clean` turns raw rows into typed rows. The stream is the listing of files; the
+    checkpoint remembers which were taken. Each batch writes a folder of its own,
+    replaced if the batch is run again, so a file counts once even after a failure.
+    A file counts as a whole or not at all: one that cannot be read, or gives fewer
+    rows than its footer promises, goes to the table of `rejected_files`.
     """
-    arriving = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("ignoreCorruptFiles", "true")
-        .parquet(folder)
+    listing = (
+        spark.readStream.format("binaryFile").schema(LISTING).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.parquet")
+        .load(folder).select("path", "length")
     )
 
-    def take(batch: DataFrame, batch_id: int) -> None:
-        align(clean(batch), target_schema).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    def take(files: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in files.select("path").collect()]  # at most files_per_batch
+        name = F.input_file_name().alias("path")
+        reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+        # Counting rows alone reads footers; the rows themselves are decoded and staged once.
+        promised = reader.parquet(*paths).select(name).groupBy("path").agg(F.count("*").alias("promised"))
+        rows = stage(reader.parquet(*paths).select(F.struct("*").alias("_row"), name)).df
+        got = rows.groupBy("path").agg(F.count("*").alias("got"))
+        checked = files.select(_decoded("path").alias("path"), "length").join(
+            promised.withColumn("path", _decoded("path")), "path", "left"
+        ).join(got.withColumn("path", _decoded("path")), "path", "left")
+        whole = F.coalesce(F.col("promised") == F.coalesce("got", F.lit(0)), F.lit(False))
+        checked = stage(checked.withColumn("whole", whole)).df
+        reason = F.when(F.col("promised").isNull(), "unreadable").otherwise("damaged")
+        checked.where("NOT whole").select("path", "length", reason.alias("reason")).write.mode("overwrite").parquet(
+            f"{target}_rejected/batch={batch_id}")
+        good = checked.where("whole").select("path")
+        taken = rows.withColumn("path", _decoded("path")).join(good, "path", "left_semi").select("_row.*")
+        align(clean(taken), target_schema).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    _run(listing.writeStream.foreachBatch(take), checkpoint)
+    return _batches(spark, target, target_schema)
+
+
+def _decoded(path: str) -> Column:
+    """One way to write a path: the listing and the reader differ in slashes and escapes."""
+    return F.regexp_replace(F.try_url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^([a-z]+):/+", "$1:/")
+
 
-    _run(arriving.writeStream.foreachBatch(take), checkpoint)
-    with_batch = T.StructType([*target_schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(with_batch).parquet(target).drop("batch")
+def rejected_files(spark: SparkSession, target: str) -> DataFrame:
+    """`path`, `length` and `reason` of the files that `ingest_files` did not take."""
+    return _batches(spark, f"{target}_rejected", REJECTED)
+
+
+def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(with_batch).parquet(path).drop("batch")
 
 
 def _run(writer, checkpoint: str) -> None:
@@ -51,7 +90,8 @@ def running_mean(
     """Weighted mean per key of a stream, as of the last row.
 
     The state is two sums per key, combined before the shuffle. Each batch writes
-    the keys it changed; the result takes the latest state of each key.
+    the keys it changed; the result takes the latest state of each key, and what
+    it read is then written as one batch, so the history does not grow.
     """
     spark = rows.sparkSession
     sums = rows.groupBy(key).agg(
@@ -64,9 +104,20 @@ def running_mean(
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     _run(sums.writeStream.outputMode("update").foreachBatch(keep), checkpoint)
-    state = T.StructType([*sums.schema.fields, T.StructField("batch", T.LongType())])
-    latest = spark.read.schema(state).parquet(target).groupBy(key).agg(
-        F.max_by(F.struct("total", "weight", "n"), "batch").alias("s")
-    )
+    latest = _latest(spark, target, sums.schema, key)
     mean = F.col("s.total") / F.nullif(F.col("s.weight"), F.lit(0.0))
     return latest.select(key, mean.alias("mean"), F.col("s.weight").alias("weight"), F.col("s.n").alias("n"))
+
+
+def _latest(spark: SparkSession, target: str, schema: T.StructType, key: str) -> DataFrame:
+    """The latest state of each key, which then replaces the batches it came from."""
+    history = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
+    latest = history.groupBy(key).agg(F.max_by(F.struct("total", "weight", "n"), "batch").alias("s"), F.max("batch").alias("batch"))
+    latest = stage(latest).df
+    batches = sorted(r["batch"] for r in history.select("batch").distinct().collect())  # one row per batch
+    if len(batches) > 1:
+        # The newest batch holds every key before the older ones go, so a failure between loses nothing.
+        latest.select(key, "s.total", "s.weight", "s.n").write.mode("overwrite").parquet(f"{target}/batch={batches[-1]}")
+        for old in batches[:-1]:
+            remove_folder(spark, f"{target}/batch={old}")
+    return latest

@@ -63,7 +63,7 @@ def test_reports(spark, tmp_path):
     )
     reports.export_all(plan, s, str(tmp_path))
     reports.register_views(spark, str(tmp_path), s.schema, plan.schema)
-    got = {name: reports.report(spark, name).collect() for name in reports.REPORTS}
+    got = {name: reports.report(spark, name).collect() for name in [*reports.REPORTS, *reports.LIVE]}
     assert [r.major for r in got["expected_gpa"]] == ["M", "N"]
     assert got["kpis"][0].total_grade_rows == 2 and got["kpis"][0].latest_year == 2023
     assert got["hardest_courses"][0].class_code == "CHEM-1" and got["easiest_courses"][0].class_code == "MATH-151"
@@ -104,3 +104,41 @@ def test_stream_takes_each_file_once(spark, tmp_path, rows):
     drop("two", ("grd_2023_3_SC.pdf", "CHEM-1-501", "-------", "5"))
     expected = [("Engineering", "MATH-151", 3.5, None), ("Science", "CHEM-1", None, None)]
     assert rows(run()) == expected and rows(run()) == expected
+
+
+def test_broken_files_are_reported_and_taken_never(spark, tmp_path, rows):
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in ["source_file", "Section", "GPA", "Total"]])
+    target = T.StructType([T.StructField("Class_Code", T.StringType()), T.StructField("GPA", T.DoubleType())])
+    data = [("grd_2023_3_EN.pdf", f"MATH-{i}-501", "3.5", "10") for i in range(3000)]
+    folder = tmp_path / "in"
+    spark.createDataFrame(data, raw).coalesce(1).write.parquet(str(folder))
+    (good,) = folder.glob("part-*.parquet")
+    whole = good.read_bytes()
+    (folder / "short.parquet").write_bytes(whole[: len(whole) // 2])  # no footer
+    middle = bytearray(whole)
+    middle[200:len(whole) // 2] = b"x" * (len(whole) // 2 - 200)  # a footer over spoiled pages
+    (folder / "spoiled.parquet").write_bytes(bytes(middle))
+    taken = ingest.ingest_files(spark, str(folder), raw, sec.clean_sections, target, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert taken.count() == 3000 and taken.select("Class_Code").distinct().count() == 3000
+    bad = {r.path.rsplit("/", 1)[1]: (r.length, r.reason) for r in ingest.rejected_files(spark, str(tmp_path / "out")).collect()}
+    assert bad == {"short.parquet": (len(whole) // 2, "unreadable"), "spoiled.parquet": (len(whole), "damaged")}
+
+
+def test_the_history_of_running_means_is_compacted(spark, tmp_path):
+    schema = "key string, v double, w bigint"
+
+    def drop(name, *data):
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "in" / name))
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "*"))
+        out = ingest.running_mean(stream, "key", "v", "w", str(tmp_path / "out"), str(tmp_path / "cp"))
+        return {r.key: (r["mean"], r.weight, r.n) for r in out.collect()}
+
+    drop("a", ("x", 1.0, 1), ("y", 5.0, 2))
+    assert run() == {"x": (1.0, 1, 1), "y": (5.0, 2, 1)}
+    drop("b", ("x", 4.0, 2))
+    drop("c", ("z", 0.0, 0))
+    want = {"x": (3.0, 3, 2), "y": (5.0, 2, 1), "z": (None, 0, 1)}
+    assert run() == want and run() == want
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 1
