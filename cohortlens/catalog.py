@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from .functions.text import slug
 from .operators import association, choice, courses, grid, matching, reports, rollup, worklist
 from .operators import sections as sec
 from .plans import documents, outline
-from .scale import shared_folder
-from .schemas import GPA_METRICS, PARTITION_COLUMNS, STAT_METRICS
+from .scale import shared_folder, stage
+from .schemas import COURSE_KEY, GPA_METRICS, PARTITION_COLUMNS, STAT_METRICS
 from .sources import files, tables
 from .streaming import ingest
 
@@ -83,11 +84,7 @@ def grid_trim_pad(spark, sf_dir):
 @query
 def grid_rows(spark, sf_dir):
     raw = bridge.raw_grid(spark, sf_dir)
-    rows = grid.grid_to_rows(raw, width=4).drop("row_idx", "table_idx")
-    return rows.groupBy("source_file").agg(
-        F.count("*").alias("n_rows"), F.count("Section").alias("n_first"),
-        F.count("A").alias("n_second"), F.count("C").alias("n_fourth"),
-    )
+    return grid.grid_to_rows(raw, width=4).drop("row_idx")
 
 
 @query
@@ -159,6 +156,13 @@ def instructor_report(spark, sf_dir):
     return courses.instructor_report(_prepared(spark, sf_dir))
 
 
+@query
+def course_tables(spark, sf_dir):
+    sums = stage(courses.course_sums(bridge.sections(spark, sf_dir))).df
+    gpa = courses.gpa_of_sums(sums).withColumnsRenamed({"mean_gpa": "gpa", "n_students": "graded"})
+    return _digits(courses.stats_of_sums(sums).join(gpa, COURSE_KEY, "left"))
+
+
 # Plans against courses
 
 
@@ -212,6 +216,12 @@ def optimal_plan(spark, sf_dir):
     return _digits(choice.optimize_plans(_matched(spark, sf_dir))[0])
 
 
+@query
+def optimize_all_majors(spark, sf_dir):
+    plan, s = bridge.plan_rows(spark, sf_dir), bridge.sections(spark, sf_dir)
+    return _digits(choice.optimize_all_majors(plan, s, bridge.ALIASES)[0])
+
+
 @query
 def optimal_selections(spark, sf_dir):
     return _digits(choice.optimize_plans(_matched(spark, sf_dir))[1])
@@ -230,6 +240,11 @@ def pearson_matrix(spark, sf_dir):
     return _digits(association.pearson_pairs(_prepared(spark, sf_dir), NUMERIC))
 
 
+@query
+def pearson_by_type(spark, sf_dir):
+    return _digits(association.pearson_pairs(_prepared(spark, sf_dir).select("Section", *NUMERIC)))
+
+
 @query
 def spearman_matrix(spark, sf_dir):
     return _digits(association.spearman_pairs(_prepared(spark, sf_dir), NUMERIC))
@@ -283,6 +298,31 @@ def plan_footnotes(spark, sf_dir):
     return documents.parse_footnotes(bridge.plan_pages(spark, sf_dir))
 
 
+@query
+def footnote_maps(spark, sf_dir):
+    return documents.footnotes_to_rows(documents.footnote_maps(bridge.plan_pages(spark, sf_dir)))
+
+
+@query
+def empty_pages(spark, sf_dir):
+    plain = bridge.table(spark, sf_dir, "region").select(
+        F.concat(F.lit("N"), F.col("r_regionkey").cast("string")).alias("major"),
+        F.concat(F.lit("<html><table><tr><td>"), "r_name", F.lit("</td><td>x</td></tr></table></html>")).alias("html"),
+    )
+    pages = bridge.plan_pages(spark, sf_dir).unionByName(plain)
+    return documents.pages_without_rows(pages, documents.parse_plans(pages))
+
+
+@query
+def plan_counts(spark, sf_dir):
+    return documents.plan_counts(documents.parse_plans(bridge.plan_pages(spark, sf_dir)))
+
+
+@query
+def plan_preview(spark, sf_dir):
+    return documents.preview(documents.parse_plans(bridge.plan_pages(spark, sf_dir)))
+
+
 @query
 def page_outline(spark, sf_dir):
     return outline.page_outline(bridge.table(spark, sf_dir, "pages"))
@@ -359,14 +399,98 @@ def partitioned_export(spark, sf_dir):
     )
 
 
+def _report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A report over exported tables, in a session of its own so that its views meet no others."""
+    folder, own = shared_folder(spark), spark.newSession()
+    s = bridge.sections(own, sf_dir)
+    if name in reports.LIVE:
+        tables.export_sections(s.drop("source_file"), f"{folder}/grade_distributions")
+        files.read_partitioned(own, f"{folder}/grade_distributions", s.drop("source_file").schema).createOrReplaceTempView("grade_distributions")
+    else:
+        view = {"expected_gpa": "major_expected_gpa", "difficulty_index": "major_difficulty_index"}.get(name, name)
+        result = reports.analyse(bridge.plan_rows(own, sf_dir), s, bridge.ALIASES)[view]
+        tables.export_result(result, f"{folder}/{view}.parquet")
+        own.read.parquet(f"{folder}/{view}.parquet").createOrReplaceTempView(view)
+    return _digits(reports.report(own, name))
+
+
 @query
 def exported_index_report(spark, sf_dir):
-    folder = shared_folder(spark)
-    s, plan = bridge.sections(spark, sf_dir), bridge.plan_rows(spark, sf_dir)
-    index = rollup.difficulty_index(plan, s, bridge.ALIASES)
-    tables.export_result(index, f"{folder}/major_difficulty_index.parquet")
-    spark.read.parquet(f"{folder}/major_difficulty_index.parquet").createOrReplaceTempView("major_difficulty_index")
-    return _digits(reports.report(spark, "difficulty_index"))
+    return _report(spark, sf_dir, "difficulty_index")
+
+
+@query
+def report_expected_gpa(spark, sf_dir):
+    return _report(spark, sf_dir, "expected_gpa")
+
+
+@query
+def report_optimizer_comparison(spark, sf_dir):
+    return _report(spark, sf_dir, "optimizer_comparison")
+
+
+@query
+def report_optimizer_selections(spark, sf_dir):
+    return _report(spark, sf_dir, "optimizer_selections")
+
+
+@query
+def report_kpis(spark, sf_dir):
+    return _report(spark, sf_dir, "kpis")
+
+
+@query
+def report_hardest_courses(spark, sf_dir):
+    return _report(spark, sf_dir, "hardest_courses")
+
+
+@query
+def report_easiest_courses(spark, sf_dir):
+    return _report(spark, sf_dir, "easiest_courses")
+
+
+@query
+def report_yearly_trend(spark, sf_dir):
+    return _report(spark, sf_dir, "yearly_trend")
+
+
+@query
+def export_by_major(spark, sf_dir):
+    folder, plan = shared_folder(spark), bridge.plan_rows(spark, sf_dir)
+    tables.export_plan_rows(plan, folder)
+    back = files.read_partitioned(spark, folder, plan.schema)
+    return _digits(back.groupBy("major").agg(F.count("*").alias("n_rows"), F.sum("credit_hours").alias("credit_hours")))
+
+
+def _through_table(spark: SparkSession, *steps: Callable[[str], bool]) -> DataFrame:
+    """Rows of a table after some writes; the table itself goes again."""
+    name = f"lens_{uuid.uuid4().hex}"
+    try:
+        for step in steps:
+            step(name)
+        return stage(spark.table(name)).df
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _two_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s = bridge.sections(spark, sf_dir)
+    return (
+        s.where("Total >= 25").select("Class_Code", "Total", "GPA"),
+        s.where("Total < 25").select("Instructor", "Total", "Class_Code"),
+    )
+
+
+@query
+def append_table(spark, sf_dir):
+    first, second = _two_frames(spark, sf_dir)
+    return _through_table(spark, lambda n: tables.append_aligned(first, n), lambda n: tables.append_aligned(second, n))
+
+
+@query
+def replace_table(spark, sf_dir):
+    first, second = _two_frames(spark, sf_dir)
+    return _through_table(spark, lambda n: tables.replace_table(first, n), lambda n: tables.replace_table(second, n))
 
 
 @query
@@ -384,6 +508,26 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@query
+def stream_rejects(spark, sf_dir):
+    """Beside good files, one broken file per region: its bytes are the region's name."""
+    folder = shared_folder(spark)
+    raw = bridge.raw_sections(spark, sf_dir).drop("total_comma_raw")
+    raw.write.parquet(f"{folder}/incoming")
+    jvm = spark.sparkContext._jvm
+    for r in bridge.table(spark, sf_dir, "region").collect():  # a handful
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/incoming/broken_{r['r_regionkey']}.parquet")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(r["r_name"].encode()))
+        out.close()
+    ingest.ingest_files(
+        spark, f"{folder}/incoming", raw.schema, sec.clean_sections, bridge.sections(spark, sf_dir).schema,
+        f"{folder}/sections", f"{folder}/checkpoint",
+    )
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    return ingest.rejected_files(spark, f"{folder}/sections").select(name.alias("name"), "length", "reason")
+
+
 @query
 def events_running_mean(spark, sf_dir):
     folder = shared_folder(spark)

@@ -375,7 +375,7 @@ WHERE NOT regexp_matches(lower(concat_ws(' ', source_file, "Section", "A", "F",
     "grid_trim_pad": f"""WITH {GRID}
 SELECT source_file, table_idx, c[1] AS c0, c[2] AS c1, c[3] AS column_2, c[4] AS column_3, 4 AS n_cells FROM fitted""",
     "grid_rows": f"""WITH {GRID}
-SELECT source_file, count(*) AS n_rows, count(c[1]) AS n_first, count(c[2]) AS n_second, count(c[4]) AS n_fourth FROM fitted GROUP BY source_file""",
+SELECT source_file, table_idx, c[1] AS "Section", c[2] AS "A", c[3] AS "B", c[4] AS "C" FROM fitted""",
     "file_metadata": f"WITH {RAW} {FILES}",
     "header_row": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier
 UNION ALL SELECT '-1', 's_name', 's_nationkey'""",
@@ -512,3 +512,30 @@ SELECT "College", "Year", count(*) AS n_rows, CAST(sum("Total") AS BIGINT) AS st
 SELECT user_id, {_r('sum(value * (event_id % 5 + 1)) / sum(event_id % 5 + 1)')} AS mean,
        CAST(sum(event_id % 5 + 1) AS BIGINT) AS weight, count(*) AS n FROM events GROUP BY user_id""",
 }
+
+# Queries that take another road to a result known from above.
+ORACLES |= {
+    "append_table": ORACLES["aligned_append"],
+    "replace_table": f"""WITH {S} SELECT "Instructor", "Total", "Class_Code" FROM s WHERE "Total" < 25""",
+    "export_by_major": f"""WITH {PLAN}
+SELECT major, count(*) AS n_rows, {_r('sum(credit_hours)')} AS credit_hours FROM plan GROUP BY major""",
+    "course_tables": f"""WITH {KEYED}
+SELECT s.course_subject, s.course_number, {_r('s.mean_gpa')} AS mean_gpa, {_r('s.fail_rate')} AS fail_rate, {_r('s.drop_rate')} AS drop_rate,
+       s.n_students, {_r('g.mean_gpa')} AS gpa, g.n_students AS graded
+FROM stats s LEFT JOIN gpa g ON g.course_subject = s.course_subject AND g.course_number = s.course_number""",
+    "optimize_all_majors": ORACLES["optimal_plan"],
+    "pearson_by_type": ORACLES["pearson_matrix"],
+    "footnote_maps": ORACLES["plan_footnotes"],
+    "empty_pages": "SELECT concat('N', r_regionkey) AS major FROM region",
+    "plan_counts": f"SELECT count(*) AS n_rows, count(DISTINCT major) AS n_majors FROM ({_plan_grid()}) g",
+    "plan_preview": f"SELECT * FROM ({_plan_grid()}) g ORDER BY major, row_order LIMIT 30",
+    "stream_rejects": "SELECT concat('broken_', r_regionkey, '.parquet') AS name, strlen(r_name) AS length, 'unreadable' AS reason FROM region",
+    "report_expected_gpa": f"""WITH {G} SELECT major, {_round(['expected_gpa', 'matched_credit_hours'])}, coverage_pct FROM ranking""",
+    "report_optimizer_comparison": f"""SELECT major, baseline_expected_gpa, optimal_expected_gpa, gpa_uplift, num_choice_groups
+FROM ({ORACLES["optimizer_comparison"]}) c""",
+    "report_optimizer_selections": f"""SELECT major, course_subject, course_number, title, mean_gpa FROM ({ORACLES["optimal_selections"]}) c""",
+    "report_kpis": ORACLES["kpi_summary"],
+    "report_hardest_courses": ORACLES["hardest_courses"],
+    "report_easiest_courses": ORACLES["easiest_courses"],
+    "report_yearly_trend": ORACLES["yearly_trend"],
+}
