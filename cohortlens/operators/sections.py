@@ -99,10 +99,6 @@ def clean_sections(raw: DataFrame) -> DataFrame:
     return typed(sql_names(split_section(add_file_fields(raw))))
 
 
-def year_number(c: str = "Year") -> Column:
-    return F.col(c).try_cast("int")
-
-
 def drop_header_rows(df: DataFrame, column: str = "Section") -> DataFrame:
     """Drop rows whose section text names a total, a page or an instructor; null stays."""
     text = F.coalesce(F.lower(F.col(f"`{column}`")), F.lit(""))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Public names, types and order of columns.
 GRID = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("table_idx", T.IntegerType()),
@@ -13,14 +14,6 @@ GRID = T.StructType([
 COUNT_COLUMNS = ["A", "B", "C", "D", "F", "Total_A_F", "I", "S", "U", "Q", "X", "Total"]
 PARTITION_COLUMNS = ["College", "Year", "Semester"]
 
-SECTIONS = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ["College", "Year", "Semester", "Class_Code", "Section"]]
-    + [T.StructField(c, T.LongType()) for c in ["A", "B", "C", "D", "F", "Total_A_F"]]
-    + [T.StructField("GPA", T.DoubleType())]
-    + [T.StructField(c, T.LongType()) for c in ["I", "S", "U", "Q", "X", "Total"]]
-    + [T.StructField("Instructor", T.StringType())]
-)
-
 PLAN_ROWS = T.StructType([
     T.StructField("major", T.StringType()),
     T.StructField("year_label", T.StringType()),
