@@ -272,12 +272,12 @@ def correlation_ratio(spark, sf_dir):
 
 @query
 def mixed_associations(spark, sf_dir):
-    return _digits(association.mixed_associations(_prepared(spark, sf_dir), NOMINAL, ["GPA", "Total", "A"]))
+    return _digits(association.mixed_associations(_prepared(spark, sf_dir), [*NOMINAL, "Section"], NUMERIC))
 
 
 @query
 def chi2_contingency(spark, sf_dir):
-    return _digits(association.chi2_pairs(_prepared(spark, sf_dir), [*NOMINAL, "Total", "F"]))
+    return _digits(association.chi2_pairs(_prepared(spark, sf_dir), [*NOMINAL, "Section", *NUMERIC]))
 
 
 @query

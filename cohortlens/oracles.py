@@ -455,14 +455,14 @@ SELECT col_a, col_b, {_r('v / nullif(sqrt((n * (n - 1) / 2 - tx.t) * (n * (n - 1
 FROM sizes LEFT JOIN balance USING (col_a, col_b) JOIN tx USING (col_a, col_b) JOIN ty USING (col_a, col_b)""",
     "theils_u": f"WITH {PREPARED}, {_filled(NOMINAL4, [])}, {_theil(NOMINAL4)} SELECT col_a, col_b, {_round(['r'])} FROM theil",
     "correlation_ratio": f"WITH {PREPARED}, {_filled(NOMINAL, NUMERIC)}, {_eta(NOMINAL, NUMERIC)} SELECT col_a, col_b, {_round(['r'])} FROM eta",
-    "mixed_associations": f"""WITH {PREPARED}, {_filled(NOMINAL, ['GPA', 'Total', 'A'])}, {_theil(NOMINAL)}, {_eta(NOMINAL, ['GPA', 'Total', 'A'])},
-long AS ({_long(['GPA', 'Total', 'A'], 'DOUBLE', 'filled')}), pear AS (SELECT col_a, col_b, {PEARSON} AS r FROM long GROUP BY col_a, col_b),
+    "mixed_associations": f"""WITH {PREPARED}, {_filled(NOMINAL4, NUMERIC)}, {_theil(NOMINAL4)}, {_eta(NOMINAL4, NUMERIC)},
+long AS ({_long(NUMERIC, 'DOUBLE', 'filled')}), pear AS (SELECT col_a, col_b, {PEARSON} AS r FROM long GROUP BY col_a, col_b),
 parts AS (
 SELECT col_a, col_b, 'theils_u' AS measure, r FROM theil
 UNION ALL SELECT col_a, col_b, 'correlation_ratio', r FROM eta UNION ALL SELECT col_b, col_a, 'correlation_ratio', r FROM eta
 UNION ALL SELECT col_a, col_b, 'pearson', r FROM pear UNION ALL SELECT col_b, col_a, 'pearson', r FROM pear)
 SELECT col_a, col_b, measure, {_r('r')} AS value FROM parts""",
-    "chi2_contingency": f"""WITH {PREPARED}, long AS ({_long([*NOMINAL, 'Total', 'F'], 'VARCHAR')}),
+    "chi2_contingency": f"""WITH {PREPARED}, long AS ({_long([*NOMINAL4, *NUMERIC], 'VARCHAR')}),
 cells AS (SELECT col_a, col_b, x, y, CAST(count(*) AS DOUBLE) AS n FROM long GROUP BY ALL),
 xs AS (SELECT col_a, col_b, x, sum(n) AS n FROM cells GROUP BY ALL), ys AS (SELECT col_a, col_b, y, sum(n) AS n FROM cells GROUP BY ALL),
 total AS (SELECT col_a, col_b, sum(n) AS n FROM cells GROUP BY ALL),
