@@ -180,9 +180,10 @@ def describe(blocks: list[tuple[tuple[str, ...], str, float]]) -> np.ndarray:
             for part in element.split("."):
                 row[_slot("<" + part, PATHS)] = 1
         words = text.split(" ")
-        share = 1 / len(words) ** 0.5
-        for w in words[:200]:
-            row[PATHS + _slot(w, WORDS)] += share
+        for w in words:
+            row[PATHS + _slot(w, WORDS)] += 1
+        own = row[PATHS : PATHS + WORDS]
+        own /= np.linalg.norm(own)  # a word repeated a thousand times is still one word
         size = len(text)
         row[-NUMBERS:] = (
             np.log1p(size) / 6, np.log1p(len(words)) / 4, linked, text[-1] in ".!?:;\"'", len(path) / 8,
