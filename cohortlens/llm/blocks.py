@@ -405,7 +405,7 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
     key = F.xxhash64("page_id", "url")
-    few = kept(rows.where(F.length("html") > 0).select(key.alias("key"), "html").orderBy("key").limit(TRAIN_PAGES), "sample")
+    few = kept(rows.where(F.length("html") > 0).select(key.alias("key"), "html").orderBy("key").limit(TRAIN_PAGES))
     sample = sorted(r[0] for r in few.select("html").collect())  # at most TRAIN_PAGES pages
     shared = send(pages.sparkSession, train(sample))
     return rows.mapInArrow(_extract(shared), "page_id long, url string, text string, n_chars long")

@@ -338,7 +338,7 @@ def counts(docs: DataFrame) -> DataFrame:
     """`word` (a hash; -1 for the end) and its count `c` over the training texts."""
     rows = texts(docs.where(~held_out(F.col("doc_id"))))
     counted = rows.select("text").mapInArrow(_count, "word long, n long")
-    return kept(counted.groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    return kept(counted.groupBy("word").agg(F.sum("n").alias("c")))
 
 
 def frequent(words: DataFrame) -> Table:
@@ -424,7 +424,7 @@ def scores(docs: DataFrame) -> DataFrame:
     net = learn(docs, table)
     shared = send(spark, (table, net.w))
     passed = kept(
-        texts(docs).mapInArrow(_score(shared), _PASS).withColumn("row", F.monotonically_increasing_id()), "passed")
+        texts(docs).mapInArrow(_score(shared), _PASS).withColumn("row", F.monotonically_increasing_id()))
     far = passed.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.n")
     seen = F.col("c").isNotNull()
     share = F.log10(F.col("c") * (1 - table.unseen) / float(max(table.rare, 1)))

@@ -63,7 +63,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 def rates(docs: DataFrame) -> DataFrame:
     """`source`, `source_size`, `target`, `rate` and the `seed` whose draws come nearest to the target."""
     sized = _sized(docs)
-    targets = kept(source_targets(sized), "targets")
+    targets = kept(source_targets(sized))
     rated = targets.withColumn(
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     )
@@ -78,7 +78,7 @@ def rates(docs: DataFrame) -> DataFrame:
     nearest = F.array_min(F.array(*(F.struct(F.abs(F.col(f"s{k}") - wanted).alias("gap"), F.lit(k).alias("seed")) for k in range(SEEDS))))
     return kept(sums.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
         "source", "source_size", "target", "rate", nearest["seed"].alias("seed")
-    ), "rates")
+    ))
 
 
 def _sized(docs: DataFrame) -> DataFrame:

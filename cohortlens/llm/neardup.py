@@ -190,7 +190,7 @@ def components(links: DataFrame) -> DataFrame:
     labels = kept(
         links.select(F.col("b").alias("node"), F.col("a").alias("component"))
         .unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("component")))
-        .groupBy("node").agg(F.min("component").alias("component")), "labels",
+        .groupBy("node").agg(F.min("component").alias("component")),
     )
     while True:
         a = labels.select(F.col("node").alias("a"), F.col("component").alias("root_a"))
@@ -200,7 +200,7 @@ def components(links: DataFrame) -> DataFrame:
             F.greatest("root_a", "root_b").alias("component"), F.least("root_a", "root_b").alias("lower")
         ).groupBy("component").agg(F.min("lower").alias("lower"))
         seen = Observation()
-        hooks = kept(hooks.observe(seen, F.count(F.lit(1)).alias("n")), "hooks")
+        hooks = kept(hooks.observe(seen, F.count(F.lit(1)).alias("n")))
         moved = labels.join(hooks, "component", "left").select(
             "node", F.coalesce("lower", "component").alias("component")
         )
@@ -208,7 +208,7 @@ def components(links: DataFrame) -> DataFrame:
         up = hooks.select(F.col("component").alias("mid"), F.col("lower").alias("top"))
         labels = kept(
             moved.join(up, moved["component"] == up["mid"], "left")
-            .select("node", F.coalesce("top", "component").alias("component")), "labels",
+            .select("node", F.coalesce("top", "component").alias("component")),
         )
         if seen.get["n"] == 0:
             return labels
@@ -217,11 +217,11 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: `doc_id`, `n_shingles`, `component_id` (smallest linked id), `kept`."""
     signed = kept(
-        texts(docs).mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, sig array<long>"), "signed"
+        texts(docs).mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, sig array<long>")
     )
     usable = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = kept(
-        usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes"
+        usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     )
     posted = classes.select("rep", F.posexplode("sig").alias("at", "value")).select(
         F.xxhash64("at", "value").alias("key"), "at", "rep"
@@ -235,11 +235,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("rep", F.explode(F.slice("lists", 1, F.col("take"))).alias("list"))
         .select("rep", "list.key", "list.at")
     )
-    prefixes = kept(ordered.join(classes, "rep"), "prefixes")
+    prefixes = kept(ordered.join(classes, "rep"))
     wanted = prefixes.select(F.col("rep").alias("doc_id"), "set_key").distinct()
     sets = kept(
         texts(docs).join(wanted, "doc_id").dropDuplicates(["doc_id", "text"])
-        .mapInArrow(_full_sets, "rep long, set binary"), "sets",
+        .mapInArrow(_full_sets, "rep long, set binary"),
     )
 
     # Round 1: neighbours in the lists, sorted by the signature from the list's coordinate on.
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         turned.repartitionByRange(parts, "key", "turn").sortWithinPartitions("key", "turn", "rep")
         .select("key", "rep", "sig").mapInPandas(_neighbours, "a long, b long").where("a < b").distinct()
     )
-    links = kept(_confirmed(kept(near, "pairs"), sets), "links")
+    links = kept(_confirmed(kept(near), sets))
     labels = components(links)
 
     # Round 2: pairs that share a list and lie in different components.
@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mixed = labelled.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("first")
     ).where("low < high").select("key", "first")
-    open_lists = kept(labelled.join(mixed, "key"), "open")
+    open_lists = kept(labelled.join(mixed, "key"))
     # Classes connected by such lists form a pool; pairs are looked for inside of pools only.
     pools = components(
         open_lists.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     more = kept(
         cells.repartition(parts, "pool", "c", "d").sortWithinPartitions("pool", "c", "d", "rep")
-        .mapInPandas(_across, "a long, b long").distinct(), "links",
+        .mapInPandas(_across, "a long, b long").distinct(),
     )
     labels = components(links.unionByName(more))
 
@@ -294,10 +294,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """Rows of `docs` without near duplicates: the smallest id of each component stays, once."""
-    found = kept(near_duplicates(docs).select("doc_id", "kept").where("doc_id IS NOT NULL"), "found")
+    found = kept(near_duplicates(docs).select("doc_id", "kept").where("doc_id IS NOT NULL"))
     by_id = found.groupBy("doc_id").agg(F.max("kept").alias("any_kept"), F.count("*").alias("rows"))
-    gone = kept(by_id.where(~F.col("any_kept")).select(F.col("doc_id").alias("__id")), "gone")
-    several = kept(by_id.where("any_kept AND rows > 1").select(F.col("doc_id").alias("__id")), "several")
+    gone = kept(by_id.where(~F.col("any_kept")).select(F.col("doc_id").alias("__id")))
+    several = kept(by_id.where("any_kept AND rows > 1").select(F.col("doc_id").alias("__id")))
     rest = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
     once = rest.join(several, rest["doc_id"] == several["__id"], "left_anti")
     repeated = rest.join(several, rest["doc_id"] == several["__id"], "left_semi").dropDuplicates(["doc_id", "text"])

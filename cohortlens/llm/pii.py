@@ -256,7 +256,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def read(docs: DataFrame) -> DataFrame:
     """Base spans and candidate occurrences of every document, kept for the rounds that follow."""
-    return kept(_keyed(docs).mapInArrow(_read, _READ_SCHEMA), "found")
+    return kept(_keyed(docs).mapInArrow(_read, _READ_SCHEMA))
 
 
 def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -267,13 +267,13 @@ def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.explode("found").alias("o")
     ).select("o.kind", "o.seed", "o.instance", F.explode("o.patterns").alias("pattern"))
     edges = kept(
-        occurrences.groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "edges"
+        occurrences.groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("n"))
     )
     supported = kept(
         edges.groupBy("pattern", "kind").agg(
             F.count(F.when(F.col("seed"), 1)).alias("seeds"), F.count(F.when(~F.col("seed"), 1)).alias("others"),
             F.sum("n").alias("n"),
-        ).where((F.col("seeds") >= SUPPORT)), "supported",
+        ).where((F.col("seeds") >= SUPPORT)),
     )
     # The filter: FILTER_BITS bits, in pieces of 32,768.
     bit = F.col("pattern").bitwiseAND(F.lit(FILTER_BITS - 1))
@@ -288,9 +288,8 @@ def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
         "pattern").agg(F.sum("n").alias("total"))
     patterns = kept(
         supported.join(totals, "pattern", "left").withColumn("rest", F.greatest(F.coalesce("total", F.lit(0)) - F.col("n"), F.lit(0))),
-        "patterns",
     )
-    graph = kept(edges.join(patterns.select("pattern", "kind"), ["pattern", "kind"], "left_semi"), "graph")
+    graph = kept(edges.join(patterns.select("pattern", "kind"), ["pattern", "kind"], "left_semi"))
     sure = graph.select("kind", "instance", "seed").groupBy("kind", "instance").agg(
         F.max(F.col("seed").cast("double")).alias("confidence")
     )
@@ -301,12 +300,12 @@ def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
         scored = kept(
             patterns.join(sums, ["pattern", "kind"]).withColumn(
                 "score", F.col("sure") / (F.col("instances") + F.col("rest") + 1)
-            ), f"scored{i}",
+            ),
         )
         sure = kept(
             graph.join(scored.select("pattern", "kind", "score"), ["pattern", "kind"]).groupBy("kind", "instance").agg(
                 F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(F.sum(F.log(1 - F.col("score"))))).alias("confidence")
-            ), f"sure{i}",
+            ),
         )
     return scored.where(F.col("score") >= SURE).select("pattern", "kind", "score")
 
@@ -320,7 +319,7 @@ def discovered(docs: DataFrame, found: DataFrame) -> DataFrame:
     return kept(
         loose.join(patterns, ["pattern", "kind"], "left_semi").groupBy("text_key").agg(
             F.collect_set(F.struct("kind", "start", "end")).alias("more")
-        ), "discovered",
+        ),
     )
 
 

@@ -6,7 +6,6 @@ where an operator asks for it. Null texts count as empty.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scale import shared_folder
+
 WORD = r"[^\x20\x09-\x0D]+"
 # Bytes hashed at a time; a text beyond it is cut between words.
 PIECE = 1 << 20
@@ -124,23 +125,17 @@ def strings(column: pa.Array) -> list[str]:
     return column.fill_null("").to_pylist()
 
 
-def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+def kept(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder of the cluster and read it back.
 
-    The files belong to the result that reads them, as checkpoint files do.
+    The files go with the open `workspace`, or when the program ends.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shared_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`, or a folder below the warehouse where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints").rstrip("/")
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -311,10 +311,10 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     few = kept(
         chosen.where("toxic = 1").orderBy(*order).limit(TRAIN_EACH)
-        .unionByName(chosen.where("toxic = 0").orderBy(*order).limit(TRAIN_EACH)), "sample",
+        .unionByName(chosen.where("toxic = 0").orderBy(*order).limit(TRAIN_EACH)),
     )
     # Two numbers for each of at most 2 x TRAIN_EACH documents.
-    return kept(texts(docs).join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]), "train")
+    return kept(texts(docs).join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]))
 
 
 def held_out(doc_id: Column) -> Column:

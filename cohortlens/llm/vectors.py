@@ -187,7 +187,7 @@ class Index:
         spark = vectors.sparkSession
         packed = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(
             _pack, "vec_id long, vec binary, width int")
-        packed = kept(packed, "packed")
+        packed = kept(packed)
         widths = packed.groupBy("width").count().orderBy(F.desc("count"), "width").limit(1).collect()
         self.width = widths[0]["width"] if widths else 0
         self.neighbours = neighbours
@@ -195,14 +195,14 @@ class Index:
         # A rank of at most `neighbours + 1` is cut before the shuffle, so many copies do not meet in one task.
         rank = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
         few = self.packed.distinct().withColumn("rank", rank).where(F.col("rank") <= neighbours + 1)
-        self.entries = kept(few.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "entries")
+        self.entries = kept(few.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
         self.router: Router | None = None
         self.longest = 1.0
         if self.width:
             self._learn()
             shared = send(spark, (self.router, self.longest))
             placed = self.entries.mapInArrow(_place(shared), "vec binary, ids array<long>, part int")
-            self.placed = kept(placed, "placed")
+            self.placed = kept(placed)
 
     def _learn(self) -> None:
         sample = self.entries.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE).select("vec").collect()
@@ -224,10 +224,10 @@ class Index:
         if not self.width:
             return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         asked = self.packed.join(queries.select(F.col("vec_id").cast("long")).distinct(), "vec_id", "left_semi").distinct()
-        asked = kept(asked, "asked")
+        asked = kept(asked)
         shared = send(spark, self.router)
         routed = asked.select("vec").distinct().mapInArrow(_route(shared), "vec binary, part int")
-        routed = kept(routed, "routed")
+        routed = kept(routed)
         # Blocks of parts; counts of at most MOST_PARTS parts reach the driver.
         rows = {r["part"]: r["n"] for r in self.placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
         asks = {r["part"]: r["n"] for r in routed.groupBy("part").agg(F.count("*").alias("n")).collect()}
@@ -248,7 +248,7 @@ class Index:
         best = Window.partitionBy("vec").orderBy(F.desc("score"), "vec_id")
         top = kept(
             found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= self.neighbours + 1)
-            .groupBy("vec").agg(F.collect_list(F.struct("place", "vec_id", "score")).alias("top")), "top",
+            .groupBy("vec").agg(F.collect_list(F.struct("place", "vec_id", "score")).alias("top")),
         )
         own = F.filter(F.array_sort("top"), lambda t: t["vec_id"] != F.col("query_id"))
         return (
