@@ -7,13 +7,12 @@ writes every stage's result as Parquet in the shared folder and rereads it.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm import bpe, mixing, neardup, pii, toxicity
 from cohortlens.llm.queries import WORD_BPE
-from cohortlens.llm.texts import documents, shared_root
+from cohortlens.llm.texts import documents
+from cohortlens.scale import shared_folder
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    folder = f"{shared_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = shared_folder(spark)
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
