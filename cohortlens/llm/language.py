@@ -10,10 +10,11 @@ was never seen shares the probability that the words seen once suggest
 
 Training is truncated backpropagation over windows of `STEPS` tokens; the hidden
 state is carried from window to window and reset where a document begins. Every
-partition trains a replica on its training documents, one in `RATE` by a hash of
-the text, and the replicas are averaged by Spark, weighted by their tokens: work
-and data grow with the corpus. Before that, `WARM` documents (by hash) train the
-common start on the driver.
+partition trains a replica on all its training documents, and the replicas are
+averaged by Spark, weighted by their tokens: work and data grow with the corpus.
+Before that, `WARM` documents (by hash) train the common start on the driver.
+A stream long enough for `LEAST` windows to a lane is run in up to `LANES` lanes,
+a shorter one in `FEW` at most.
 
 Scoring runs over whole texts and carries the state through; texts of a batch
 run side by side, the longest first. Counts of the `TABLE` most frequent words
@@ -42,8 +43,7 @@ WORDS = CLASSES * CLASSES
 TABLE = 1 << 18
 HIDDEN = 24
 STEPS = 32
-LANES = 64
-RATE = 8
+FEW, LANES, LEAST = 64, 512, 32
 WARM = 400
 SIDE = 1024  # texts scored side by side
 END_WORD = np.int64(-1)  # stands for the end in the count table
@@ -193,7 +193,7 @@ class Network:
         return (log_p, grad, dh) if back else log_p
 
     def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
-        """Loss, gradients and last state of one window; rows are lanes, columns steps."""
+        """Loss, gradients and last state of one window; rows are lanes, columns steps. A target of -1 is padding."""
         lanes, steps = before.shape
         n = HIDDEN
         states, kept_ = [], []
@@ -206,7 +206,13 @@ class Network:
             kept_.append((old, fresh, *gates))
             states.append(h)
         flat = np.stack(states, axis=1).reshape(-1, n)
-        log_p, grad, dh = self.outputs(flat, target.reshape(-1), True)
+        goal = target.reshape(-1)
+        real = goal >= 0
+        if real.all():
+            log_p, grad, dh = self.outputs(flat, goal, True)
+        else:
+            dh = np.zeros_like(flat)
+            log_p, grad, dh[real] = self.outputs(flat[real], goal[real], True)
         dh = dh.reshape(lanes, steps, n)
         grad["u"] = np.zeros_like(self.w["u"])
         dx = np.empty((lanes, steps, 3 * n), np.float32)
@@ -231,20 +237,22 @@ class Network:
 
     def train(self, stream: np.ndarray, rate: float) -> None:
         """Run over a stream of texts, each with its end, in lanes side by side."""
-        lanes = int(min(LANES, max(1, len(stream) // STEPS)))
-        length = len(stream) // lanes
-        if length == 0:
+        if not len(stream):
             return
+        windows = len(stream) // STEPS
+        lanes = int(max(1, min(FEW, windows), min(LANES, windows // LEAST)))
+        length = -(-len(stream) // lanes)
+        pad = lanes * length - len(stream)
         before = np.append(np.int32(END), stream[:-1])
-        before = np.where(before == END, BEGIN, before)[: lanes * length].reshape(lanes, length)
-        target = stream[: lanes * length].reshape(lanes, length)
+        before = np.append(np.where(before == END, BEGIN, before), np.full(pad, BEGIN, np.int32)).reshape(lanes, length)
+        target = np.append(stream, np.full(pad, -1, np.int32)).reshape(lanes, length)
         start = np.float32(1e-8)
         square = {k: np.full_like(v, start) for k, v in self.w.items()}
         h = np.zeros((lanes, HIDDEN), np.float32)
         for t in range(0, length, STEPS):
             x, y = before[:, t : t + STEPS], target[:, t : t + STEPS]
             _, grad, h = self.window(x, y, h)
-            scale = np.float32(1 / x.size)
+            scale = np.float32(1 / max(1, int((y >= 0).sum())))
             rows = grad.pop("rows")
             for k, g in grad.items():
                 g = np.clip(g * scale, -0.1, 0.1)
@@ -357,15 +365,14 @@ def frequent(words: DataFrame) -> Table:
 def learn(docs: DataFrame, table: Table) -> Network:
     spark = docs.sparkSession
     rows = texts(docs.where(~held_out(F.col("doc_id"))))
-    pick = F.xxhash64("text", F.lit(RATE))
-    chosen = rows.where(F.pmod(pick, F.lit(RATE)) == 0).select("text", pick.alias("pick"))
     net = Network.start(table)
-    warm = chosen.orderBy("pick").limit(WARM).select("text").toArrow().combine_chunks()
+    # By id and text, so that a text with many copies has no more than its share.
+    warm = rows.orderBy(F.xxhash64("doc_id", "text")).limit(WARM).select("text").toArrow().combine_chunks()
     for batch in warm.to_batches():
         numbers, at, *_ = tokens(table, batch)
         net.train(_with_ends(numbers, at)[0], 0.03)
     shared = send(spark, (table, net.w))
-    replicas = chosen.select("text").mapInArrow(_train(shared), "name string, block int, sum binary, tokens long")
+    replicas = rows.select("text").mapInArrow(_train(shared), "name string, block int, sum binary, tokens long")
     means = replicas.groupBy("name", "block").applyInArrow(_add, "name string, block int, mean binary").collect()
     by_name: dict[str, list[tuple[int, bytes]]] = {}
     for name, block, mean in means:  # as many rows as the network has blocks

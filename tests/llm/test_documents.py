@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import collected, none, odd_documents, odd_rows, with_clashes, words
 from tokenizers import Tokenizer
@@ -265,6 +266,30 @@ def test_language_counts_and_base_equal_brute_force(spark):
         assert r["score"] < 0
 
 
+def test_language_learns_from_every_training_text(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    several = spark.createDataFrame([(i, words(40, i)) for i in range(20)], "i long, text string")
+    # A text that a sample of one in eight by its hash leaves out.
+    text = several.where("pmod(xxhash64(text, 8), 8) != 0").orderBy("i").first()["text"]
+    df = spark.createDataFrame([(i, text, "en", "s", 0) for i in range(400)], schema)
+    table = language.frequent(language.counts(df))
+    numbers, at, *_ = language.tokens(table, pa.RecordBatch.from_pydict({"text": [text]}))
+    stream = language._streams(numbers, at)
+    gain = language.learn(df, table).score(stream) - language.Network.start(table).score(stream)
+    assert gain[0] > 20
+
+
+def test_language_training_takes_the_last_tokens_of_a_stream():
+    table = language.Table(np.arange(10, 60, dtype=np.int64), np.full(50, 9), 5, 455, 51, 3)
+    nets = []
+    for last in (7, 8):
+        nets.append(language.Network.start(table))
+        # Three lanes of 33; the last one is filled up.
+        nets[-1].train(np.array([5] * 96 + [last], np.int32), 0.005)
+        assert all(np.isfinite(w).all() for w in nets[-1].w.values())
+    assert abs(nets[0].w["word_w"] - nets[1].w["word_w"]).max() > 1e-3
+
+
 def test_probabilities_add_up_to_one():
     words_, counts = np.arange(10, 60, dtype=np.int64), np.arange(60, 10, -1, dtype=np.int64)
     table = language.Table(words_, counts, 5, int(counts.sum()) + 5, 51, 3)
