@@ -10,7 +10,7 @@ instances over everything it precedes, ordinary words included; an unseen
 instance's confidence is the noisy-or of its patterns. Candidates after a
 pattern of score `SURE` or more, with `SUPPORT` seeds at least, become spans.
 
-How often a context precedes anything at all is counted over all documents, for
+How often a context precedes anything at all is counted over all distinct texts, for
 the contexts in a Bloom filter of fixed size (1 MiB) that holds all patterns;
 the false ones drop out when the counts are joined.
 
@@ -139,7 +139,9 @@ def _contexts(text: str, spans: list[Span]) -> list[str]:
             start -= 1
         # Two words of ordinary length; a longer one leaves only what is certain.
         m = _BEFORE.search(text, max(0, start - 200), start)
-        out.append("" if m is None or (m.start() > 0 and m.start() == start - 200) else m[0])
+        cut = m is not None and m.start() > 0 and text[m.start() - 1] not in " \t\n\v\f\r"
+        # Of two words only the first can be cut.
+        out.append("" if m is None or (cut and m[1] is None) else text[m.start(2) : m.end()] if cut else m[0])
     return out
 
 
@@ -284,8 +286,9 @@ def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     for part, piece in parts:
         bits[part * 4096 : part * 4096 + len(piece)] = piece
     shared = send(spark, bytes(bits))
-    totals = _keyed(docs).select("text").mapInArrow(_count_contexts(shared), "pattern long, n long").groupBy(
-        "pattern").agg(F.sum("n").alias("total"))
+    # Over the same texts as `n`, each once.
+    once = _keyed(docs).dropDuplicates(["text_key"]).select("text")
+    totals = once.mapInArrow(_count_contexts(shared), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
     patterns = kept(
         supported.join(totals, "pattern", "left").withColumn("rest", F.greatest(F.coalesce("total", F.lit(0)) - F.col("n"), F.lit(0))),
     )

@@ -216,6 +216,25 @@ def test_patterns_find_unseen_identifiers_and_leave_other_numbers_alone(spark):
     assert masked[1000]["text"] == texts[1000] and masked[6]["n_chars"] == len(masked[6]["text"])
 
 
+def test_copies_of_a_text_do_not_spoil_a_pattern(spark):
+    rows = []
+    for i in range(60):
+        number = f"+1 555 {200 + i} {1000 + i}" if i % 6 else f"555-{200 + i}-{1000 + i}"
+        rows.append((i, f"{words(8, i)} phone: {number} {words(5, i + 500)}", "en", "s", 0))
+    rows += [(1000 + i, "the phone: please ask", "en", "s", 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r["doc_id"]: r["n_added"] for r in pii.find(df).collect()}
+    assert all(found[i] == (i % 6 == 0) for i in range(60)) and not any(found[1000 + i] for i in range(600))
+
+
+def test_a_long_word_leaves_the_word_after_it_as_context():
+    for text, want in [
+        ("x" * 300 + " phone: 1", "phone: "), ("x" * 300 + " 1", ""), ("a " + "x" * 192 + " phone: 1", "x" * 192 + " phone: "),
+        ("call me at 1", "me at "), ("phone: 1", "phone: "), ("1", ""),
+    ]:
+        assert pii._contexts(text, [(3, len(text) - 1, len(text))]) == [want]
+
+
 def test_targets_by_capping_and_resharing(spark):
     rows = [(f"d{i}", s, size) for i, (s, size) in enumerate([("a", 10), ("b", 500), ("c", 400), ("d", 7), (None, 0), ("e", 90)])]
     df = spark.createDataFrame([(s, size) for _, s, size in rows], "source string, size long")
