@@ -55,7 +55,7 @@ BLOCK_TAGS = frozenset(
     " summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|noscript|template|svg|math|iframe|object|canvas"
+RAW_TAGS = "script|style|noscript|template|svg|iframe|object|canvas"
 SEMANTIC = ("article", "main")
 BOILERPLATE = frozenset("nav header footer aside form head button select menu dialog textarea fieldset title".split())
 BOILERPLATE_WORDS = (
@@ -69,7 +69,8 @@ CLOSED_BY = {
 }
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW_TAGS + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
+    r"|<(?P<raw>" + RAW_TAGS + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/][^>]*>?|<[A-Za-z][^>]*>?|(?P<text>[^<]+|<)", re.S | re.I,
 )

@@ -51,6 +51,19 @@ def test_blocks_of_markup():
     assert got == [(("div",), "a"), (("p.x",), "b cd"), (("li",), "e"), (("li",), "f < g"), ((), "h")]
 
 
+def test_drawings_formulas_and_custom_elements_do_not_cut_a_page():
+    for body, want in [
+        ('<p>one</p><svg class="i"/><p>two</p><p>three</p>', ["one", "two", "three"]),
+        ('<p>one</p><SVG aria-label="a > b" /><p>two</p>', ["one", "two"]),
+        ('<p>one</p><svg class="i"><g/><text>no</text></svg><p>two</p>', ["one", "two"]),
+        ("<p>one</p><object-card>in</object-card><p>two</p>", ["one", "in", "two"]),
+        ("<p>one</p><object data=x>no</object><p>two</p>", ["one", "two"]),
+        ("<p>E = <math><mi>m</mi><mspace/><msup><mi>c</mi><mn>2</mn></msup></math> holds</p>", ["E = mc2 holds"]),
+        ("<p>one</p><math/><p>two</p>", ["one", "two"]),
+    ]:
+        assert [t for _, t, _ in blocks.cut(f"<article>{body}</article>")] == want
+
+
 def test_lstm_gradients_agree_with_differences():
     rng = np.random.default_rng(2)
     net = blocks.Labeller()
