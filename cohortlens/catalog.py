@@ -260,6 +260,11 @@ def kendall_tau_b(spark, sf_dir):
     return _digits(association.kendall_pairs(_prepared(spark, sf_dir), ["A", "F", "GPA", "Total"]))
 
 
+@query
+def kendall_matrix(spark, sf_dir):
+    return _digits(association.kendall_pairs(_prepared(spark, sf_dir), NUMERIC))
+
+
 @query
 def theils_u(spark, sf_dir):
     return _digits(association.theils_u(_prepared(spark, sf_dir), [*NOMINAL, "Section"]))
@@ -282,7 +287,7 @@ def chi2_contingency(spark, sf_dir):
 
 @query
 def phik_matrix(spark, sf_dir):
-    return _digits(association.phik_pairs(_prepared(spark, sf_dir), NOMINAL, ["GPA", "Total", "A", "F", "Pct_A"]), 3)
+    return _digits(association.phik_pairs(_prepared(spark, sf_dir), [*NOMINAL, "Section", "Class_Code"], NUMERIC), 3)
 
 
 # Documents
