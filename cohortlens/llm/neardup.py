@@ -3,7 +3,7 @@
 Documents with equal shingle sets form one class. Each class posts its
 signature under every (coordinate, value) pair. Two sets of similarity 0.85
 agree in at least `MATCHES` of `COORDINATES` values but with a chance of about
-1e-6, so they share a value among the `COORDINATES - MATCHES + 1` rarest of
+6e-7, so they share a value among the `COORDINATES - MATCHES + 1` rarest of
 either (prefix merging); longer lists are skipped, and their collisions are
 counted in the signatures. Every pair that reaches the threshold is confirmed
 on full shingle sets.
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .texts import bytes_of, kept, pieces, shingles, texts, word_hashes
 
 COORDINATES = 32
-MATCHES = 18
+MATCHES = 16
 PREFIX = COORDINATES - MATCHES + 1
 SIMILAR = 85  # percent
 SHINGLE = 5

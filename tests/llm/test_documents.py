@@ -120,6 +120,12 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, blocks):
     assert collected(neardup.near_duplicates(df)) == sorted(linked_components(rows), key=repr)
 
 
+def test_a_pair_at_the_threshold_is_missed_as_rarely_as_stated():
+    n, p = neardup.COORDINATES, neardup.SIMILAR / 100
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(neardup.MATCHES)) < 6e-7
+    assert neardup.PREFIX == n - neardup.MATCHES + 1
+
+
 def test_one_document_of_a_group_stays(spark):
     kept = [r["doc_id"] for r in neardup.deduplicated(odd_documents(spark)).collect()]
     assert sorted(i or 0 for i in kept) == [0, 1, 2, 3, 4, 5, 9, 10, 11, 12, 13, 15]
