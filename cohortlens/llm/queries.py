@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, bpe, fingerprints, language, licenses, mixing, neardup, pii, toxicity, vectors
+from . import (
+    blocks, bpe, fingerprints, infill, language, licenses, mixing, neardup, pii, sharding, toxicity, variants, vectors,
+)
 from .texts import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +62,18 @@ def op10_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(rows, rows.where("vec_id % 20 = 0").select("vec_id"))
 
 
+def op11_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(documents(spark, sf_dir))
+
+
+def op12_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_scheduling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_syncmers": op1_syncmers,
     "op2_contexts": op2_contexts,
@@ -71,6 +85,14 @@ QUERIES: dict[str, Query] = {
     "op8_gru": op8_gru,
     "op9_toxicity": op9_toxicity,
     "op10_partitions": op10_partitions,
+    "op11_piece_table": op11_piece_table,
+    "op12_chunks": op12_chunks,
+    "op13_scheduling": op13_scheduling,
 }
 
-ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE,
+    "op11_piece_table": infill.ORACLE,
+    "op12_chunks": variants.ORACLE,
+    "op13_scheduling": sharding.ORACLE,
+}
