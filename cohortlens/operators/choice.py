@@ -2,7 +2,9 @@
 
 A course may be taken once per major. Ignoring that rule, each group takes its
 best option: one aggregate. Majors whose picks respect the rule are done, since
-the relaxed picks are an upper bound. Only the others are solved exactly.
+the relaxed picks are an upper bound. Only the others are solved exactly: a usual
+one in one task, one with more options than `ONE_TASK` by clusters of groups that
+get in each other's way (`contention`). Both give the same picks.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ PICK = [*GROUP, *COURSE_KEY, "title", "mean_gpa"]
 FIRST_LOOK = 16
 # Values closer than this are equal.
 SAME = 1e-9
+# Options of a major that one task takes as a whole.
+ONE_TASK = 20_000
 
 
 def _hours() -> Column:
@@ -254,7 +258,7 @@ def _options(matched: DataFrame, groups: DataFrame, majors: DataFrame) -> DataFr
 
 
 def exact_picks(
-    matched: DataFrame, groups: DataFrame, majors: DataFrame, first_look: int = FIRST_LOOK
+    matched: DataFrame, groups: DataFrame, majors: DataFrame, first_look: int = FIRST_LOOK, one_task: int = ONE_TASK
 ) -> DataFrame:
     """Best picks without a repeated course for the given majors.
 
@@ -262,7 +266,20 @@ def exact_picks(
     of each group. Course prices prove the picks optimal, or tell which groups
     need a longer list: only these are solved again.
     """
+    from .contention import clustered_picks
+
     options = _options(matched, groups, majors)
+    sizes = stage(options.groupBy("major").agg(F.count("*").alias("n")).where(F.col("n") > one_task).select("major"))
+    if sizes.rows == 0:
+        done = major_picks(options, first_look)
+    else:
+        usual, large = options.join(sizes.df, "major", "left_anti"), options.join(sizes.df, "major", "left_semi")
+        done = major_picks(usual, first_look).unionByName(clustered_picks(large, first_look))
+    return options.join(done, [*GROUP, "rank"]).select(*PICK)
+
+
+def major_picks(options: DataFrame, first_look: int = FIRST_LOOK) -> DataFrame:
+    """(major, choice_group_id, rank) of the picks, each major in one task."""
     # The solver gets no titles or names: its picks are looked up again by rank.
     todo = options.select(*GROUP, "course", "value", "place", "rank").withColumn("look", F.lit(first_look))
     names, done = todo.columns, None
@@ -274,7 +291,7 @@ def exact_picks(
         done = picked if done is None else done.unionByName(picked)
         short = stage(solved.where("short").select(*GROUP, (F.col("look") * 4).alias("longer")))
         if short.rows == 0:
-            return options.join(done, [*GROUP, "rank"]).select(*PICK)
+            return done
         open_majors = short.df.select("major").distinct()
         again = todo.join(open_majors, "major", "left_semi")
         again = again.join(short.df, GROUP, "left")

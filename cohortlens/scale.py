@@ -4,6 +4,7 @@
   cluster, so a result used several times is computed once and survives the
   loss of executors. `workspace` owns such tables and deletes them.
 * `running_totals` is a prefix sum that does not put a whole key in one task.
+* `components` labels connected nodes by joins alone.
 """
 
 from __future__ import annotations
@@ -119,3 +120,35 @@ def running_totals(
         .withColumn(out, F.col("_shift") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .drop("_r", "_shift")
     )
+
+
+def components(links: DataFrame) -> DataFrame:
+    """`node` and `root`, the smallest node connected with it, of all nodes of the links `a`, `b`.
+
+    Every round hangs each root below the smallest root next to its nodes and
+    halves the paths. The links stay as they are; give few links per node (stars
+    rather than all pairs).
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    table = stage(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root"))).df
+    while True:
+        ends = links.join(table.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(
+            table.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"
+        )
+        hooks = stage(
+            ends.where("ra != rb").select(F.greatest("ra", "rb").alias("high"), F.least("ra", "rb").alias("low"))
+            .groupBy("high").agg(F.min("low").alias("low"))
+        )
+        below = table.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        lower = hooks.df.select(F.col("high").alias("root"), F.col("low"))
+        onward = table.join(lower, "root", "left").select("node", F.coalesce("low", "root").alias("root"))
+        moved = F.col("above").isNotNull() & (F.col("above") != F.col("root"))
+        seen = Observation()
+        path = shared_folder(links.sparkSession)
+        (
+            onward.join(below, "root", "left").observe(seen, F.count_if(moved).alias("n"))
+            .select("node", F.coalesce("above", "root").alias("root")).write.parquet(path)
+        )
+        table = links.sparkSession.read.schema(table.schema).parquet(path)
+        if hooks.rows == 0 and seen.get["n"] == 0:
+            return table
