@@ -8,6 +8,7 @@ from ..scale import stage
 from ..schemas import GPA_METRICS, STAT_METRICS
 from ..sources.files import read_partitioned
 from ..sources.tables import export_plan_rows, export_result, export_sections
+from ..sources.versions import TableSet
 from .association import mixed_associations, phik_pairs, rounded, spearman_pairs, top_pairs
 from .choice import compare_with_baseline, optimize_plans
 from .courses import (
@@ -94,10 +95,26 @@ def register_views(spark: SparkSession, folder: str, sections_schema, plan_schem
 
 
 def create_tables(spark: SparkSession, schema: str, frames: dict[str, DataFrame]) -> None:
-    """Create a schema if needed and replace its tables."""
+    """Create a schema if needed and replace its tables, all of them or none.
+
+    The rows of all tables are written first, below `<schema location>/_sets`. The
+    tables of the catalog are views over the version that this makes; readers
+    that resolve the set itself (`published`) never see a mix.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
-    for name, df in frames.items():
-        df.write.format("parquet").mode("overwrite").saveAsTable(f"{schema}.{name}")
+    store = published(spark, schema)
+    version = store.replace(frames)
+    for name in frames:
+        full = f"{schema}.{name}"
+        if spark.catalog.tableExists(full) and spark.catalog.getTable(full).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {full}")
+        source = " UNION ALL ".join(f"SELECT * FROM parquet.`{f}`" for f in store.folders(name, version))
+        spark.sql(f"CREATE OR REPLACE VIEW {full} AS {source}")
+
+
+def published(spark: SparkSession, schema: str) -> TableSet:
+    """The set of tables of a schema as `create_tables` keeps it."""
+    return TableSet(spark, f"{spark.catalog.getDatabase(schema).locationUri}/_sets")
 
 
 def report(spark: SparkSession, name: str) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sections import sql_names, typed
+from ..scale import stage
 from ..schemas import PARTITION_COLUMNS
 
 # Target size of a row group in an export.
@@ -60,22 +61,28 @@ def append_aligned(df: DataFrame, name: str, partition_by: list[str] | None = No
 
     An empty frame appends nothing and gives False.
     """
-    spark = df.sparkSession
-    if df.isEmpty():
-        return False
+    spark, seen = df.sparkSession, Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if table_exists(spark, name):
-        align(df, spark.table(name).schema).write.insertInto(name)
+        align(counted, spark.table(name).schema).write.insertInto(name)
     else:
-        writer = df.write.format("parquet")
+        writer = counted.write.format("parquet")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
-    return True
+        if seen.get["rows"] == 0:
+            spark.sql(f"DROP TABLE {name}")
+    return seen.get["rows"] > 0
 
 
 def replace_table(df: DataFrame, name: str) -> bool:
-    """Replace a table and its columns; an empty frame changes nothing and gives False."""
-    if df.isEmpty():
+    """Replace a table and its columns; an empty frame changes nothing and gives False.
+
+    The rows are staged first, so the old table stands until all new ones are there.
+    `versions.TableSet` replaces several tables as a whole.
+    """
+    staged = stage(df)
+    if staged.rows == 0:
         return False
-    df.write.format("parquet").mode("overwrite").saveAsTable(name)
+    staged.df.write.format("parquet").mode("overwrite").saveAsTable(name)
     return True
 
 
@@ -93,19 +100,13 @@ def export_sections(sections: DataFrame, path: str) -> bool:
     Rows are gathered by partition first, so a partition gets few files; the
     rebalance splits a partition that is too large for one task.
     """
-    if sections.isEmpty():
-        return False
     rows = typed(sql_names(sections)).hint("rebalance", *PARTITION_COLUMNS)
-    _overwrite(rows, path, PARTITION_COLUMNS)
-    return True
+    return _overwrite(rows, path, PARTITION_COLUMNS) > 0
 
 
 def export_plan_rows(plan: DataFrame, path: str) -> bool:
     """Write plan rows by major."""
-    if plan.isEmpty():
-        return False
-    _overwrite(plan.hint("rebalance", "major"), path, ["major"])
-    return True
+    return _overwrite(plan.hint("rebalance", "major"), path, ["major"]) > 0
 
 
 def export_result(result: DataFrame, path: str) -> None:
@@ -113,12 +114,15 @@ def export_result(result: DataFrame, path: str) -> None:
     result.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def _overwrite(df: DataFrame, path: str, keys: list[str]) -> None:
+def _overwrite(df: DataFrame, path: str, keys: list[str]) -> int:
+    """Replace the partitions at hand (none, if there are no rows); the number of rows, counted on the way."""
+    seen = Observation()
     (
-        df.write.mode("overwrite")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .option("parquet.block.size", ROW_GROUP_BYTES)
         .partitionBy(*keys)
         .parquet(path)
     )
+    return seen.get["rows"]
