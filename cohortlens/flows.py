@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from . import bridge
 from .catalog import NOMINAL, NUMERIC, Query, _digits, _prepared
-from .operators import association, grid, reports
+from .codes import COLLEGE_CODES
+from .operators import association, grid, reports, worklist
 from .operators import sections as sec
 from .oracles import ORACLES as TOLD
 from .oracles import NUMERIC as _SQL_NUMERIC
@@ -123,6 +124,19 @@ def append_once(spark, sf_dir):
     )
 
 
+@query(f"""WITH span AS (SELECT max(year(l_shipdate)) AS hi FROM lineitem),
+college AS (SELECT DISTINCT unnest({COLLEGE_CODES}) AS college)
+SELECT CAST(y AS INT) AS year, semester, report_type, college,
+  concat('https://example.org/r/', y, semester, '/', report_type, y, semester, college, '.pdf') AS url,
+  concat('data/', CASE WHEN report_type = 'grd' THEN 'grd/' ELSE '' END, report_type, '_', y, '_', semester, '_', college, '.pdf') AS path
+FROM college, (SELECT unnest(range(1992, hi + 1)) AS y FROM span) t, (SELECT unnest([1, 2, 3]) AS semester) m,
+  (SELECT unnest(['grd', 'gpad', 'gpac']) AS report_type) r""")
+def standard_grid(spark, sf_dir):
+    """Expected reports of all known colleges up to the last year of the sections."""
+    last = bridge.table(spark, sf_dir, "lineitem").agg(F.max(F.year("l_shipdate")).alias("year"))
+    return worklist.standard_grid(last, "https://example.org/r", "data", first_year=1992)
+
+
 # Published and exported sets
 
 _TABLES = ["degree_plan_courses", "grade_distributions", *reports.RESULTS]

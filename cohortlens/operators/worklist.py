@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..codes import MIN_FILE_BYTES, REPORT_TYPES, SEMESTERS
+from ..codes import COLLEGE_CODES, FIRST_YEAR, MIN_FILE_BYTES, REPORT_TYPES, SEMESTERS
 from ..functions.text import slug
 
 
@@ -63,6 +63,13 @@ def work_grid(
     )
 
 
+def standard_grid(last_year: DataFrame, base: str, folder: str, first_year: int = FIRST_YEAR) -> DataFrame:
+    """The grid of all known colleges, each once, up to the year in the one row of `last_year` (column `year`)."""
+    codes = F.array(*[F.lit(c) for c in distinct_in_order(COLLEGE_CODES)])
+    colleges = last_year.select(F.explode(codes).alias("college"), F.col("year").alias("_last"))
+    return work_grid(colleges, F.lit(first_year), F.col("_last"), base, folder)
+
+
 def valid_files(manifest: DataFrame, min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
     """(path, length) rows large enough to be a report."""
     return manifest.where(F.col("length") >= min_bytes)
