@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sharing import receive, send
-from .texts import pieces, strings, texts
+from .texts import frugal, pieces, strings, texts
 
 # Words whose ids a worker remembers; beyond it starts afresh.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 _SPACES = r"\t-\r \x85\xa0  -     　"
 
 
@@ -206,7 +206,7 @@ def _digests(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(receive(vocabulary))
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", 2 << 20):
                 rows = [
                     (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown.encode()).hexdigest())
                     for ids, shown in encoder.encode(strings(batch.column("text")))
@@ -223,7 +223,7 @@ def _tokens(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(receive(vocabulary))
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", 2 << 20):
                 found = list(encoder.encode(strings(batch.column("text"))))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -239,12 +239,12 @@ def _tokens(vocabulary):
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `ids` and `decoded` text of every document."""
     shared = send(docs.sparkSession, Vocabulary(path))
-    return texts(docs).mapInArrow(_tokens(shared), "doc_id long, ids array<int>, decoded string")
+    return texts(docs).mapInArrow(frugal(_tokens(shared)), "doc_id long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `n_tokens` and SHA-256 digests of the ids and of the decoded text."""
     shared = send(docs.sparkSession, Vocabulary(path))
     return texts(docs).mapInArrow(
-        _digests(shared), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        frugal(_digests(shared)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .texts import bytes_of, kept, pieces, shingles, texts, word_hashes
+from .texts import bytes_of, frugal, kept, pieces, shingles, texts, word_hashes
 
 COORDINATES = 32
 MATCHES = 16
@@ -217,7 +217,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: `doc_id`, `n_shingles`, `component_id` (smallest linked id), `kept`."""
     signed = kept(
-        texts(docs).mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, sig array<long>")
+        texts(docs).mapInArrow(frugal(_sign), "doc_id long, n_shingles long, set_key binary, sig array<long>")
     )
     usable = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = kept(
@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = prefixes.select(F.col("rep").alias("doc_id"), "set_key").distinct()
     sets = kept(
         texts(docs).join(wanted, "doc_id").dropDuplicates(["doc_id", "text"])
-        .mapInArrow(_full_sets, "rep long, set binary"),
+        .mapInArrow(frugal(_full_sets), "rep long, set binary"),
     )
 
     # Round 1: neighbours in the lists, sorted by the signature from the list's coordinate on.
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     near = (
         turned.repartitionByRange(parts, "key", "turn").sortWithinPartitions("key", "turn", "rep")
-        .select("key", "rep", "sig").mapInPandas(_neighbours, "a long, b long").where("a < b").distinct()
+        .select("key", "rep", "sig").mapInPandas(frugal(_neighbours), "a long, b long").where("a < b").distinct()
     )
     links = kept(_confirmed(kept(near), sets))
     labels = components(links)
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     more = kept(
         cells.repartition(parts, "pool", "c", "d").sortWithinPartitions("pool", "c", "d", "rep")
-        .mapInPandas(_across, "a long, b long").distinct(),
+        .mapInPandas(frugal(_across), "a long, b long").distinct(),
     )
     labels = components(links.unionByName(more))
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sharing import receive, send
-from .texts import bytes_of, kept, mix, pieces, strings, word_hashes
+from .texts import bytes_of, frugal, kept, mix, pieces, strings, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -258,7 +258,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def read(docs: DataFrame) -> DataFrame:
     """Base spans and candidate occurrences of every document, kept for the rounds that follow."""
-    return kept(_keyed(docs).mapInArrow(_read, _READ_SCHEMA))
+    return kept(_keyed(docs).mapInArrow(frugal(_read), _READ_SCHEMA))
 
 
 def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def sure_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     shared = send(spark, bytes(bits))
     # Over the same texts as `n`, each once.
     once = _keyed(docs).dropDuplicates(["text_key"]).select("text")
-    totals = once.mapInArrow(_count_contexts(shared), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
+    totals = once.mapInArrow(frugal(_count_contexts(shared)), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
     patterns = kept(
         supported.join(totals, "pattern", "left").withColumn("rest", F.greatest(F.coalesce("total", F.lit(0)) - F.col("n"), F.lit(0))),
     )
@@ -387,7 +387,7 @@ def masked(docs: DataFrame) -> DataFrame:
     named = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)), F.col("text").alias("__text"))
     rows = named.join(more, F.xxhash64(F.coalesce("__text", F.lit(""))) == F.col("__key"), "left").drop("__key")
     schema = ", ".join(f"{n} {t}" for n, t in named.dtypes)
-    out = rows.mapInArrow(_mask, schema)
+    out = rows.mapInArrow(frugal(_mask), schema)
     back = {c: F.col(f"c{i}") for i, c in enumerate(others)}
     back |= {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
     return out.select(*(back[c].alias(c) for c in docs.columns))

@@ -6,7 +6,9 @@ where an operator asks for it. Null texts count as empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +123,26 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         first = last
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches after which its worker gives memory back.
+
+    Workers are used again by later tasks; what their allocators keep for
+    themselves would add up over the stages of a pipeline.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def strings(column: pa.Array) -> list[str]:
     return column.fill_null("").to_pylist()
 

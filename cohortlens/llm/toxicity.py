@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sharing import receive, send
-from .texts import kept, pieces, strings, texts
+from .texts import frugal, kept, pieces, strings, texts
 
 ORDER = 3
 DECAY = 0.6
@@ -48,7 +48,9 @@ GRAMS = (4, 5, 6, 8)
 # Labelled training documents of each label, and sentences of each.
 TRAIN_EACH = 3000
 TRAIN_SENTENCES = 6
-REMEMBERED = 200_000
+# Words whose kernel rows a task remembers (128 bytes each, and the word), and bytes of text it reads at a time.
+REMEMBERED = 100_000
+PIECE = 1 << 20
 _LETTERS = 32
 _TRIPLES = [c for n in range(ORDER, WIDTH + 1) for c in combinations(range(n), ORDER) if c[-1] == n - 1]
 _COUNT = [sum(c[-1] < n for c in _TRIPLES) for n in range(WIDTH + 1)]
@@ -140,9 +142,19 @@ class Reader:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1, len(self.kernel.landmarks)), np.float32)
-        self.single: list[bool] = [False]
-        self.ends: list[bool] = [False]
+        self.used = 1  # row 0 is that of no word
+        self.rows = np.zeros((4096, len(self.kernel.landmarks)), np.float32)
+        self.single, self.ends = np.zeros(4096, bool), np.zeros(4096, bool)
+
+    def _grow(self, size: int) -> None:
+        """Room for so many rows; arrays at least double."""
+        if size > len(self.rows):
+            size = max(size, 2 * len(self.rows))
+            for name in ("rows", "single", "ends"):
+                old = getattr(self, name)
+                new = np.zeros((size, *old.shape[1:]), old.dtype)
+                new[: self.used] = old[: self.used]
+                setattr(self, name, new)
 
     def _learn(self, words: set[str]) -> None:
         new = sorted(words - self.place.keys())
@@ -158,21 +170,21 @@ class Reader:
         names = sorted(set(flat))
         found = self.kernel(names)
         at = {w: i for i, w in enumerate(names)}
-        rows = np.zeros((len(new), found.shape[1]), np.float32)
+        base, end = self.used, self.used + len(new)
+        self._grow(end)
         values = found[[at[w] for w in flat]]
         hit = values.any(axis=1)
-        np.maximum.at(rows, owner[hit], values[hit])
-        base = len(self.rows)
-        self.place.update(zip(new, range(base, base + len(new))))
-        self.rows = np.concatenate((self.rows, rows))
-        self.single += [len(p) == 1 for p in plain]
-        self.ends += [bool(_END.search(w)) for w in new]
+        np.maximum.at(self.rows[base:end], owner[hit], values[hit])
+        self.place.update(zip(new, range(base, end)))
+        self.single[base:end] = [len(p) == 1 for p in plain]
+        self.ends[base:end] = [bool(_END.search(w)) for w in new]
+        self.used = end
 
     def sentences(self, batch: list[str]) -> Iterator[np.ndarray]:
         """Per text, one kernel row for each sentence; at least one."""
         split = [t.lower().split() for t in batch]
         self._learn(set().union(*split))
-        single, ends = np.array(self.single), np.array(self.ends)
+        single, ends = self.single, self.ends
         for words in split:
             if not words:
                 yield np.zeros((1, self.rows.shape[1]), np.float32)
@@ -275,7 +287,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     found.add(word[:WIDTH])
                     found.update(word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1))
             counts[toxic].update(found)
-            if len(counts[0]) + len(counts[1]) > 400_000:
+            if len(counts[0]) + len(counts[1]) > 200_000:
                 yield from _counted(counts)
     yield from _counted(counts)
 
@@ -294,7 +306,7 @@ def _train_rows(model_kernel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(receive(model_kernel))
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", PIECE):
                 ids, rows = [], []
                 for doc_id, found in zip(batch.column("doc_id").to_pylist(), reader.sentences(strings(batch.column("text")))):
                     best = np.argsort(-found.max(axis=1), kind="stable")[:TRAIN_SENTENCES]
@@ -323,7 +335,7 @@ def held_out(doc_id: Column) -> Column:
 
 def choose_landmarks(train: DataFrame, good: int, bad: int) -> list[str]:
     """Letter sequences that mark toxic documents best, no two of them much alike."""
-    counted = train.select("text", "toxic").mapInArrow(_grams, "gram string, toxic int, n long")
+    counted = train.select("text", "toxic").mapInArrow(frugal(_grams), "gram string, toxic int, n long")
     # A sequence must be in toxic documents several times as often as in clean ones.
     most = max(2.0, 0.002 * bad)
     ranked = (
@@ -366,7 +378,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return none
     kernel = Kernel(names)
     shared = send(docs.sparkSession, kernel)
-    rows = train.select("doc_id", "text").mapInArrow(_train_rows(shared), "doc_id long, row binary").collect()
+    rows = train.select("doc_id", "text").mapInArrow(frugal(_train_rows(shared)), "doc_id long, row binary").collect()
     rows = sorted((r[0], bytes(r[1])) for r in rows)
     matrix = np.stack([np.frombuffer(r, np.float32) for _, r in rows])
     return learn([d for d, _ in rows], matrix, toxic, kernel)
@@ -377,7 +389,7 @@ def _score(shared):
         model: Model = receive(shared)
         reader = Reader(model.kernel) if model.kernel else None
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", PIECE):
                 found = model.scores(reader, strings(batch.column("text"))) if reader else [model.prior] * batch.num_rows
                 columns = [batch.column(n) for n in batch.schema.names] + [pa.array(found, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "__tox"])
@@ -387,7 +399,7 @@ def _score(shared):
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`doc_id`, `held_out`, `score` and `predicted` of every document."""
     shared = send(docs.sparkSession, fit(docs, labels))
-    found = texts(docs).mapInArrow(_score(shared), "doc_id long, text string, __tox double")
+    found = texts(docs).mapInArrow(frugal(_score(shared)), "doc_id long, text string, __tox double")
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__tox").alias("score"),
         (F.col("__tox") >= 0.5).cast("int").alias("predicted"),
@@ -400,5 +412,5 @@ def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)), F.col("text").alias("text"))
     schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes) + ", __tox double"
-    found = plain.mapInArrow(_score(shared), schema).where("__tox < 0.5")
+    found = plain.mapInArrow(frugal(_score(shared)), schema).where("__tox < 0.5")
     return found.select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
