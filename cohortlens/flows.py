@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from . import bridge
 from .catalog import NOMINAL, NUMERIC, Query, _digits, _prepared
 from .codes import COLLEGE_CODES
-from .operators import association, grid, reports, worklist
+from .operators import association, courses, grid, reports, worklist
 from .operators import sections as sec
 from .oracles import ORACLES as TOLD
 from .oracles import NUMERIC as _SQL_NUMERIC
-from .oracles import PEARSON, PREPARED, RANKED, G, S, _long, _r
-from .scale import remove_folder, shared_folder
-from .schemas import COURSE_GPA, PARTITION_COLUMNS
-from .sources import files, tables
+from .oracles import PEARSON, PREPARED, RANKED, G, _long, _r
+from .scale import remove_folder, shared_folder, stage
+from .schemas import COURSE_GPA, GPA_METRICS
+from .sources import colocated, files, tables
 from .sources.versions import TableSet
 from .streaming.arrivals import Arrivals, take_arrivals
 
@@ -137,6 +137,18 @@ def standard_grid(spark, sf_dir):
     return worklist.standard_grid(last, "https://example.org/r", "data", first_year=1992)
 
 
+@query(TOLD["plan_match"])
+def plan_match_kept(spark, sf_dir):
+    """Plans matched with courses over tables that lie together."""
+    plan, metrics = (f"lens_{uuid.uuid4().hex}" for _ in range(2))
+    try:
+        colocated.keep_plan(bridge.plan_rows(spark, sf_dir), plan)
+        colocated.keep_metrics(courses.course_gpa(bridge.sections(spark, sf_dir)), metrics, GPA_METRICS, bridge.ALIASES)
+        return stage(_digits(colocated.match_kept(spark, plan, metrics, GPA_METRICS))).df
+    finally:
+        colocated.forget(spark, plan, metrics)
+
+
 # Published and exported sets
 
 _TABLES = ["degree_plan_courses", "grade_distributions", *reports.RESULTS]
