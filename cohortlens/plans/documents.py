@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..codes import BLOCK, COURSE, HEADER, OPTION, SUBTOTAL, TOTAL
+from ..functions.elements import first_element, list_items
 from ..functions.text import (
     attribute, course_code, hours, inner, query_value, squeeze, sup_marks, text_of, without_sup,
 )
@@ -31,11 +32,9 @@ GRID_OPEN = with_class("table", "sc_plangrid")
 ROW = r"(?is)<tr\b[^>]*>.*?(?=</tr>|<tr\b|$)"
 CELL = r"(?is)<td\b[^>]*>.*?(?=</td>|<td\b|<th\b|$)"
 HEAD_CELL = r"(?is)<th\b[^>]*>.*?(?=</th>|<t[hd]\b|$)"
-INDENT = with_class("div", "blockindent") + r"(.*?)(?:</div>|$)"
+INDENT_OPEN = with_class("div", "blockindent")
 LINK = r"(?is)<a\b([^>]*)>(.*?)(?:</a>|$)"
-NOTES = with_class("dl", "sc_footnotes") + r"(.*?)(?:</dl>|$)"
-TERM = r"(?is)<dt\b[^>]*>(.*?)(?=</dt>|<d[td]\b|$)"
-TEXT = r"(?is)<dd\b[^>]*>(.*?)(?=</dd>|<d[td]\b|$)"
+NOTES_OPEN = with_class("dl", "sc_footnotes")
 
 
 def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
@@ -107,14 +106,14 @@ def typed_rows(rows: DataFrame) -> DataFrame:
         "hours_raw": F.coalesce(text_of("hours_td"), F.lit("")),
         "plain": without_sup("code_td"),
         "span": F.when(F.contains("first", F.lit("colspan")), attribute(F.regexp_extract("first", open_tag, 0), "colspan")),
-        "indent": F.when(F.contains("code_td", F.lit("blockindent")), all_matches(F.col("code_td"), INDENT, 1)),
+        "indent": F.when(F.contains("code_td", F.lit("blockindent")), first_element(F.col("code_td"), "div", INDENT_OPEN)),
     })
 
     def marked(name: str) -> Column:
         return F.array_contains("classes", name)
 
     is_block = (F.coalesce("span", F.lit("")) == "2") | (F.col("n") == 2)
-    is_option = F.coalesce(F.size("indent"), F.lit(0)) > 0
+    is_option = F.col("indent").isNotNull()
     kind = (
         F.when(marked("plangridyear"), "year")
         .when(marked("plangridterm"), "term")
@@ -126,7 +125,7 @@ def typed_rows(rows: DataFrame) -> DataFrame:
         .when(is_option, OPTION)
         .otherwise(COURSE)
     )
-    cut = cut.withColumns({"kind": kind, "inside": F.coalesce(F.get("indent", F.lit(0)), "code_td")})
+    cut = cut.withColumns({"kind": kind, "inside": F.coalesce("indent", "code_td")})
     listed, block = F.col("kind").isin(COURSE, OPTION), F.col("kind").isin(HEADER, BLOCK)
     cut = cut.withColumn("link", F.when(listed & F.contains("inside", F.lit("<")), F.get(all_matches(F.col("inside"), LINK), F.lit(0))))
     shown = F.coalesce(F.regexp_extract("link", LINK, 2), F.col("code_td"))
@@ -196,14 +195,18 @@ def pages_without_rows(pages: DataFrame, plan: DataFrame) -> DataFrame:
 def parse_footnotes(pages: DataFrame) -> DataFrame:
     """(major, footnote_num, footnote_text) from the first footnote list of each page.
 
-    Terms and texts pair up by position; a repeated number keeps its last text.
+    Terms and texts pair up by position, those of lists within a text included; a
+    repeated number keeps its last text.
     """
     seen = F.regexp_replace("html", UNSEEN, "")
-    notes = F.get(all_matches(seen, NOTES, 1), F.lit(0))
-    zipped = F.arrays_zip(
-        all_matches(notes, TERM, 1).alias("term"), all_matches(notes, TEXT, 1).alias("text")
-    )
-    pairs = pages.select("major", F.posexplode(zipped).alias("pos", "z")).where(
+    items = list_items(seen, "dl", NOTES_OPEN, ("dt", "dd"))
+
+    def texts(tag: str) -> Column:
+        return F.transform(F.filter("items", lambda i: i["tag"] == tag), lambda i: i["text"])
+
+    zipped = F.arrays_zip(texts("dt").alias("term"), texts("dd").alias("text"))
+    listed = pages.select("major", F.when(F.contains(seen, F.lit("sc_footnotes")), items).alias("items"))
+    pairs = listed.select("major", F.posexplode(zipped).alias("pos", "z")).where(
         "z.term IS NOT NULL AND z.text IS NOT NULL"
     )
     named = pairs.select("major", "pos", text_of("z.term").alias("footnote_num"), text_of("z.text", " ").alias("t"))
