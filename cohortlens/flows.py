@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import bridge
 from .catalog import NOMINAL, NUMERIC, Query, _digits, _prepared
 from .codes import COLLEGE_CODES
-from .operators import association, courses, grid, reports, worklist
+from .operators import association, courses, distinct, grid, reports, worklist
 from .operators import sections as sec
 from .oracles import ORACLES as TOLD
 from .oracles import NUMERIC as _SQL_NUMERIC
@@ -137,6 +137,26 @@ def standard_grid(spark, sf_dir):
     return worklist.standard_grid(last, "https://example.org/r", "data", first_year=1992)
 
 
+@query(TOLD["kpi_summary"])
+def kpis_from_partials(spark, sf_dir):
+    """The KPI row from partials per file: sums, extremes and bitmaps of course codes, written and merged."""
+    s = bridge.sections(spark, sf_dir)
+    year = F.col("Year").try_cast("int")
+    rows = s.where(year.isNotNull()).select("source_file", "Class_Code", "Total", year.alias("year"))
+    store = TableSet(spark, shared_folder(spark))
+    store.replace({"numbers": distinct.dictionary(rows, "Class_Code")})
+    per_file = rows.groupBy("source_file").agg(
+        F.count("*").alias("rows"), F.sum("Total").alias("students"), F.min("year").alias("first"), F.max("year").alias("last"))
+    store.replace({"sums": per_file, "courses": distinct.partials(rows, "Class_Code", store.read("numbers"), ["source_file"])})
+    n = distinct.counted(store.read("courses"), name="distinct_courses")
+    # One row on either side.
+    return store.read("sums").agg(
+        F.sum("rows").alias("total_grade_rows"), F.sum("students").cast("bigint").alias("total_students_graded"),
+        F.min("first").alias("earliest_year"), F.max("last").alias("latest_year"),
+    ).crossJoin(F.broadcast(n)).select(
+        "total_grade_rows", "total_students_graded", "distinct_courses", "earliest_year", "latest_year")
+
+
 @query(TOLD["plan_match"])
 def plan_match_kept(spark, sf_dir):
     """Plans matched with courses over tables that lie together."""
