@@ -12,7 +12,9 @@ Training is truncated backpropagation over windows of `STEPS` tokens; the hidden
 state is carried from window to window and reset where a document begins. Every
 partition trains a replica on all its training documents, and the replicas are
 averaged by Spark, weighted by their tokens: work and data grow with the corpus.
-Before that, `WARM` documents (by hash) train the common start on the driver.
+So scores depend a little on how the table is cut into partitions. Before that,
+`WARM` documents (by hash, of those with at most `WARM_BYTES`) train the common
+start on the driver.
 A stream long enough for `LEAST` windows to a lane is run in up to `LANES` lanes,
 a shorter one in `FEW` at most.
 
@@ -44,8 +46,9 @@ TABLE = 1 << 18
 HIDDEN = 24
 STEPS = 32
 FEW, LANES, LEAST = 64, 512, 32
-WARM = 400
+WARM, WARM_BYTES = 400, 1 << 16
 SIDE = 1024  # texts scored side by side
+ROWS = 2048  # of outputs worked through at a time
 END_WORD = np.int64(-1)  # stands for the end in the count table
 RARE, END, BEGIN = WORDS, WORDS + 1, WORDS + 2
 
@@ -116,8 +119,24 @@ def _with_ends(numbers: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, at + np.arange(n + 1)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _softmax(h: np.ndarray, w: np.ndarray, goal: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of the goal of each row; with `back`, the second result is the gradient by the logits.
+
+    The last entry of a row of `h` is 1, the last row of `w` the bias.
+    """
+    e = h @ w
+    # States lie within -1 and 1; only weights this large could overflow.
+    if np.abs(w[:-1]).sum(axis=0).max() + w[-1].max() > 60:
+        np.minimum(e, 60, out=e)
+    rows = np.arange(len(h))
+    log_p = e[rows, goal]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    log_p -= np.log(total)
+    if back:
+        e *= (1 / total)[:, None]
+        e[rows, goal] -= 1
+    return log_p, e
 
 
 class Network:
@@ -149,96 +168,125 @@ class Network:
         }.items()})
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step from rows of the input table; gates are returned for the way back."""
+        """One step; gates are returned for the way back.
+
+        A column of `x` (3 x HIDDEN rows, from the input table) and of the states
+        `h` is a lane, so each gate is one stretch of memory.
+        """
         n = HIDDEN
-        g = h @ self.w["u"]
-        zr = _sigmoid(x[:, : 2 * n] + g[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        new = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-        return h + z * (new - h), z, r, new, g[:, 2 * n :]
+        g = self.w["u"].T @ h
+        zr = x[: 2 * n] + g[: 2 * n]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r, far = zr[:n], zr[n:], g[2 * n :]
+        new = r * far
+        new += x[2 * n :]
+        np.tanh(new, out=new)
+        out = new - h
+        out *= z
+        out += h
+        return out, z, r, new, far
 
     def outputs(self, h: np.ndarray, target: np.ndarray, back: bool = False):
-        """Log probability of each target from its hidden state; with `back`, also the gradients."""
+        """Log probability of each target from its hidden state (a row); with `back`, also the gradients."""
         w = self.w
-        group = np.where(target < WORDS, target // CLASSES, CLASSES + target - WORDS)
-        # Weights are clipped on the way, so the exponentials stay far from overflow.
-        logit = np.minimum(h @ w["class_w"] + w["class_b"], 60)
-        e = np.exp(logit)
-        total = e.sum(axis=1)
-        rows = np.arange(len(h))
-        log_p = logit[rows, group] - np.log(total)
-        if back:
-            gap = e / total[:, None]
-            gap[rows, group] -= 1
-            grad = {"class_w": h.T @ gap, "class_b": gap.sum(axis=0), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
-            dh = gap @ w["class_w"].T
+        group = np.where(target < WORDS, target // CLASSES, CLASSES + target - WORDS).astype(np.int16)
         order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[bounds[c] : bounds[c + 1]]
-            if not len(own):
-                continue
-            hc = h[own]
-            logit = np.minimum(hc @ w["word_w"][c] + w["word_b"][c], 60)
-            e = np.exp(logit)
-            total = e.sum(axis=1)
-            word = target[own] % CLASSES
-            log_p[own] += logit[np.arange(len(own)), word] - np.log(total)
+        group, word = group[order], (target % CLASSES)[order]
+        h = np.concatenate((h, np.ones((len(h), 1), h.dtype)), axis=1)[order]
+        class_w = np.concatenate((w["class_w"], w["class_b"][None]))
+        word_w = np.concatenate((w["word_w"], w["word_b"][:, None]), axis=1)
+        log_p = np.empty(len(h), h.dtype)
+        if back:
+            class_g, word_g, dh = np.zeros_like(class_w), np.zeros_like(word_w), np.empty((len(h), HIDDEN), h.dtype)
+        for first in range(0, len(h), ROWS):
+            part = slice(first, first + ROWS)
+            log_p[part], gap = _softmax(h[part], class_w, group[part], back)
             if back:
-                gap = e / total[:, None]
-                gap[np.arange(len(own)), word] -= 1
-                grad["word_w"][c] = hc.T @ gap
-                grad["word_b"][c] = gap.sum(axis=0)
-                dh[own] += gap @ w["word_w"][c].T
-        return (log_p, grad, dh) if back else log_p
+                class_g += h[part].T @ gap
+                dh[part] = gap @ w["class_w"].T
+        bounds = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
+        for c in range(CLASSES):
+            for first in range(bounds[c], bounds[c + 1], ROWS):
+                part = slice(first, min(first + ROWS, bounds[c + 1]))
+                more, gap = _softmax(h[part], word_w[c], word[part], back)
+                log_p[part] += more
+                if back:
+                    word_g[c] += h[part].T @ gap
+                    dh[part] += gap @ w["word_w"][c].T
+        out = np.empty_like(log_p)
+        out[order] = log_p
+        if not back:
+            return out
+        turned = np.empty_like(dh)
+        turned[order] = dh
+        grad = {"class_w": class_g[:-1], "class_b": class_g[-1], "word_w": word_g[:, :-1], "word_b": word_g[:, -1]}
+        return out, grad, turned
+
+    def inputs(self, numbers: np.ndarray) -> np.ndarray:
+        """Rows of the input table for steps x lanes, turned: steps x 3 HIDDEN x lanes."""
+        return np.ascontiguousarray(self.w["table"][numbers].transpose(0, 2, 1))
 
     def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
         """Loss, gradients and last state of one window; rows are lanes, columns steps. A target of -1 is padding."""
         lanes, steps = before.shape
         n = HIDDEN
-        states, kept_ = [], []
+        ids, goal = np.ascontiguousarray(before.T), target.T.reshape(-1)
+        x = self.inputs(ids)
+        states, kept_ = np.empty((steps, n, lanes), x.dtype), []
         for t in range(steps):
-            fresh = before[:, t] == BEGIN
-            if fresh.any():
-                h = np.where(fresh[:, None], np.float32(0), h)
+            fresh = np.flatnonzero(ids[t] == BEGIN)
+            if len(fresh):
+                h = h.copy()
+                h[:, fresh] = 0
             old = h
-            h, *gates = self.step(self.w["table"][before[:, t]], h)
+            h, *gates = self.step(x[t], h)
             kept_.append((old, fresh, *gates))
-            states.append(h)
-        flat = np.stack(states, axis=1).reshape(-1, n)
-        goal = target.reshape(-1)
+            states[t] = h
+        flat = states.transpose(0, 2, 1).reshape(-1, n)
         real = goal >= 0
         if real.all():
             log_p, grad, dh = self.outputs(flat, goal, True)
         else:
             dh = np.zeros_like(flat)
             log_p, grad, dh[real] = self.outputs(flat[real], goal[real], True)
-        dh = dh.reshape(lanes, steps, n)
+        dh = np.ascontiguousarray(dh.reshape(steps, lanes, n).transpose(0, 2, 1))
         grad["u"] = np.zeros_like(self.w["u"])
-        dx = np.empty((lanes, steps, 3 * n), np.float32)
-        carry = np.zeros((lanes, n), np.float32)
+        dx = x  # read no more
+        d_g = np.empty((3 * n, lanes), x.dtype)
+        carry = np.zeros((n, lanes), x.dtype)
         for t in range(steps - 1, -1, -1):
-            old, fresh, z, r, new, g = kept_[t]
-            d = dh[:, t] + carry
-            d_new = d * z * (1 - new * new)
-            d_z = d * (new - old) * z * (1 - z)
-            d_r = d_new * g * r * (1 - r)
-            dx[:, t] = np.concatenate((d_z, d_r, d_new), axis=1)
-            d_g = np.concatenate((d_z, d_r, d_new * r), axis=1)
-            grad["u"] += old.T @ d_g
-            carry = d * (1 - z) + d_g @ self.w["u"].T
-            carry[fresh] = 0
-        flat_x, ids = dx.reshape(-1, 3 * n), before.reshape(-1)
-        order = np.argsort(ids, kind="stable")
+            old, fresh, z, r, new, far = kept_[t]
+            d = dh[t] + carry
+            dz = d * z
+            d_new = dz * (1 - new * new)
+            dx[t, :n] = dz * (new - old) * (1 - z)
+            dx[t, n : 2 * n] = d_new * far * r * (1 - r)
+            dx[t, 2 * n :] = d_new
+            d_g[: 2 * n] = dx[t, : 2 * n]
+            np.multiply(d_new, r, out=d_g[2 * n :])
+            grad["u"] += old @ d_g.T
+            carry = d - dz + self.w["u"] @ d_g
+            carry[:, fresh] = 0
+        flat_x, ids = dx.transpose(0, 2, 1).reshape(-1, 3 * n), ids.reshape(-1)
+        # A radix sort: token numbers have 16 bits.
+        order = np.argsort(ids.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
         grad["rows"] = ids[order][first]
         grad["table"] = np.add.reduceat(flat_x[order], first, axis=0)
         return float(-log_p.sum()), grad, h
 
-    def train(self, stream: np.ndarray, rate: float) -> None:
-        """Run over a stream of texts, each with its end, in lanes side by side."""
+    def train(self, stream: np.ndarray, rate: float, square: dict[str, np.ndarray] | None = None) -> dict[str, np.ndarray]:
+        """Run over a stream of texts, each with its end, in lanes side by side.
+
+        `square` holds the mean squares of the gradients so far, and is returned.
+        """
+        if square is None:
+            square = {k: np.full_like(v, np.float32(1e-8)) for k, v in self.w.items()}
         if not len(stream):
-            return
+            return square
         windows = len(stream) // STEPS
         lanes = int(max(1, min(FEW, windows), min(LANES, windows // LEAST)))
         length = -(-len(stream) // lanes)
@@ -246,9 +294,7 @@ class Network:
         before = np.append(np.int32(END), stream[:-1])
         before = np.append(np.where(before == END, BEGIN, before), np.full(pad, BEGIN, np.int32)).reshape(lanes, length)
         target = np.append(stream, np.full(pad, -1, np.int32)).reshape(lanes, length)
-        start = np.float32(1e-8)
-        square = {k: np.full_like(v, start) for k, v in self.w.items()}
-        h = np.zeros((lanes, HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, lanes), np.float32)
         for t in range(0, length, STEPS):
             x, y = before[:, t : t + STEPS], target[:, t : t + STEPS]
             _, grad, h = self.window(x, y, h)
@@ -262,6 +308,7 @@ class Network:
                 else:
                     square[k] = 0.99 * square[k] + 0.01 * g * g
                     self.w[k] -= rate * g / (np.sqrt(square[k]) + 1e-5)
+        return square
 
     def score(self, streams: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each text (with its end), texts side by side."""
@@ -270,27 +317,26 @@ class Network:
         for first in range(0, len(order), SIDE):
             group = order[first : first + SIDE]
             sizes = np.array([len(streams[i]) for i in group])
-            h = np.zeros((len(group), HIDDEN), np.float32)
+            flat = np.concatenate([streams[i] for i in group])
+            starts = np.cumsum(sizes) - sizes
+            h = np.zeros((HIDDEN, len(group)), np.float32)
             last = np.full(len(group), BEGIN, np.int32)
             total = np.zeros(len(group))
             for t in range(0, int(sizes[0]), 64):
-                alive = int((sizes > t).sum())
-                width = int(min(64, sizes[0] - t))
-                block = np.full((alive, width), -1, np.int32)
-                for k in range(alive):
-                    part = streams[group[k]][t : t + width]
-                    block[k, : len(part)] = part
-                states, targets, owners = [], [], []
-                for j in range(width):
-                    live = int((sizes[:alive] > t + j).sum())
-                    new = self.step(self.w["table"][last[:live]], h[:live])[0]
-                    h[:live] = new
-                    last[:live] = block[:live, j]
-                    states.append(new)
-                    targets.append(block[:live, j])
-                    owners.append(np.arange(live))
-                log_p = self.outputs(np.concatenate(states), np.concatenate(targets))
-                total += np.bincount(np.concatenate(owners), log_p, len(group))
+                steps = np.arange(t, int(min(t + 64, sizes[0])))
+                live = np.searchsorted(-sizes, -steps, "left")  # texts longer than so many tokens
+                alive = int(live[0])
+                # Steps x texts; beyond the end of a text anything may stand, for it is not read.
+                block = flat[np.minimum(starts[:alive] + steps[:, None], len(flat) - 1)]
+                x = self.inputs(np.concatenate((last[None, :alive], block[:-1])))
+                states = []
+                for j, n in enumerate(live.tolist()):
+                    h = self.step(x[j, :, :n], h[:, :n])[0]
+                    states.append(h.T)
+                last = block[-1]
+                real = np.arange(alive) < live[:, None]
+                log_p = self.outputs(np.concatenate(states), block[real])
+                total += np.bincount(np.nonzero(real)[1], log_p, len(group))
             out[group] = total
         return out
 
@@ -304,12 +350,12 @@ def _train(shared):
     """One replica per partition: its weights times its tokens, and the tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, weights = receive(shared)
-        net, seen = Network({k: v.copy() for k, v in weights.items()}), 0
+        net, seen, square = Network({k: v.copy() for k, v in weights.items()}), 0, None
         for whole in batches:
             for batch in pieces(whole, "text", 8 << 20):
                 numbers, at, *_ = tokens(table, batch)
                 stream, _ = _with_ends(numbers, at)
-                net.train(stream, 0.005)
+                square = net.train(stream, 0.005, square)
                 seen += len(stream)
         if seen:
             parts = [(k, i, p) for k in Network.NAMES for i, p in enumerate(np.array_split(net.w[k].ravel(), _blocks(net.w[k].size)))]
@@ -366,8 +412,12 @@ def learn(docs: DataFrame, table: Table) -> Network:
     spark = docs.sparkSession
     rows = texts(docs.where(~held_out(F.col("doc_id"))))
     net = Network.start(table)
-    # By id and text, so that a text with many copies has no more than its share.
-    warm = rows.orderBy(F.xxhash64("doc_id", "text")).limit(WARM).select("text").toArrow().combine_chunks()
+    # By id and text, so that a text with many copies has no more than its share; keys first, so that no task
+    # collects texts. Repeated rows share a key.
+    key = F.xxhash64("doc_id", "text")
+    short = rows.where(F.octet_length("text") <= WARM_BYTES).withColumn("key", key)
+    few = short.select("key").distinct().orderBy("key").limit(WARM)
+    warm = short.join(F.broadcast(few), "key").dropDuplicates(["key"]).orderBy("key").select("text").toArrow().combine_chunks()
     for batch in warm.to_batches():
         numbers, at, *_ = tokens(table, batch)
         net.train(_with_ends(numbers, at)[0], 0.03)

@@ -332,7 +332,7 @@ def test_gradients_agree_with_differences():
     before = rng.integers(0, 200, (3, 5)).astype(np.int32)
     before[1, 2] = language.BEGIN
     target = rng.integers(0, 200, (3, 5)).astype(np.int32)
-    h = np.zeros((3, language.HIDDEN))
+    h = np.zeros((language.HIDDEN, 3))
     _, grad, _ = net.window(before, target, h)
     for name in ("u", "class_w", "word_b"):
         flat = net.w[name].reshape(-1)
@@ -346,6 +346,29 @@ def test_gradients_agree_with_differences():
             assert math.isclose((up - down) / (2 * eps), grad[name].reshape(-1)[i], rel_tol=1e-2, abs_tol=1e-4)
 
 
+def test_scores_equal_a_plain_walk_through_the_tokens():
+    rng = np.random.default_rng(3)
+    net = language.Network.start(language.Table(np.arange(200), np.full(200, 7), 9, 1500, 201, 4))
+    w = net.w = {k: rng.standard_normal(v.shape) * 0.3 if k != "word_b" else v.astype(float) for k, v in net.w.items()}
+    streams = [np.append(rng.integers(0, 200, n), language.END).astype(np.int32) for n in (0, 1, 63, 64, 150, 65)]
+    streams[3][5] = language.RARE
+    n = language.HIDDEN
+    for stream, found in zip(streams, net.score(streams)):
+        h, before, total = np.zeros(n), language.BEGIN, 0.0
+        for token in stream.tolist():
+            x, g = w["table"][before], h @ w["u"]
+            z, r = (1 / (1 + np.exp(-(x[a : a + n] + g[a : a + n]))) for a in (0, n))
+            h = (1 - z) * h + z * np.tanh(x[2 * n :] + r * g[2 * n :])
+            group = token // language.CLASSES if token < language.WORDS else language.CLASSES + token - language.WORDS
+            logit = h @ w["class_w"] + w["class_b"]
+            total += logit[group] - np.log(np.exp(logit).sum())
+            if token < language.WORDS:
+                logit = h @ w["word_w"][group] + w["word_b"][group]
+                total += logit[token % language.CLASSES] - np.log(np.exp(logit).sum())
+            before = token
+        assert math.isclose(found, total, rel_tol=1e-4)
+
+
 def test_licenses_are_found_with_edits(spark):
     mit = licenses.TEMPLATES["MIT"]
     changed = mit.replace("charge", "cost").replace("publish, ", "").replace("persons", "other persons")
