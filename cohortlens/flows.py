@@ -15,10 +15,10 @@ from .operators import association, courses, distinct, grid, reports, worklist
 from .operators import sections as sec
 from .oracles import ORACLES as TOLD
 from .oracles import NUMERIC as _SQL_NUMERIC
-from .oracles import PEARSON, PREPARED, RANKED, G, _long, _r
+from .oracles import PEARSON, PREPARED, RANKED, S, G, _long, _r
 from .scale import remove_folder, shared_folder, stage
 from .schemas import COURSE_GPA, GPA_METRICS
-from .sources import colocated, files, tables
+from .sources import colocated, files, report_files, tables
 from .sources.versions import TableSet
 from .streaming.arrivals import Arrivals, take_arrivals
 
@@ -112,6 +112,54 @@ def file_listing(spark, sf_dir):
     return files.file_manifest(spark, folder, ".PARQUET").where("length > 0").select("name")
 
 
+_TERM_FILES = f"""WITH {S}, t AS (SELECT "College" AS college, CAST("Year" AS INTEGER) AS year,
+  CASE "Semester" WHEN 'Spring' THEN 1 WHEN 'Summer' THEN 2 ELSE 3 END AS semester, count(*) AS n_rows, CAST(sum("Total") AS BIGINT) AS students
+FROM s GROUP BY ALL)
+SELECT {{label}} college, year, semester, n_rows, students FROM t"""
+
+
+def _term_files(sections: DataFrame) -> DataFrame:
+    """One small report for each college, year and semester, as rows for the writer of report files."""
+    semester = F.when(F.col("Semester") == "Spring", 1).when(F.col("Semester") == "Summer", 2).otherwise(3)
+    terms = sections.groupBy(F.col("Year").cast("int").alias("year"), semester.alias("semester"), F.col("College").alias("college")).agg(
+        F.count("*").alias("n"), F.sum("Total").alias("students"))
+    return terms.select(
+        F.lit("grd").alias("report_type"), "year", "semester", "college", F.concat_ws(",", "n", "students").cast("binary").alias("content"))
+
+
+def _term_counts(found: DataFrame) -> DataFrame:
+    parts = F.split(F.col("content").cast("string"), ",")
+    counts = [F.try_element_at(parts, F.lit(i + 1)).try_cast("long").alias(c) for i, c in enumerate(("n_rows", "students"))]
+    return found.select("college", "year", "semester", *counts)
+
+
+@query(_TERM_FILES.format(label="CASE WHEN year < 1998 THEN 'early' ELSE 'late' END AS part,"))
+def report_folder(spark, sf_dir):
+    """Report files written and read again by two scans that leave out files at the listing."""
+    report_files.register(spark)
+    folder = shared_folder(spark)
+    _term_files(bridge.sections(spark, sf_dir)).write.format("report_files").mode("append").save(folder)
+    found = spark.read.format("report_files").option("content", "true")
+    early = _term_counts(found.option("lastYear", 1997).load(folder)).select(F.lit("early").alias("part"), "*")
+    found = spark.read.format("report_files").option("content", "true")
+    late = _term_counts(found.option("firstYear", 1998).load(folder)).select(F.lit("late").alias("part"), "*")
+    return early.unionByName(late)
+
+
+@query(_TERM_FILES.format(label=""))
+def report_folder_stream(spark, sf_dir):
+    """Report files of two deliveries, taken by one stream that stops in between."""
+    report_files.register(spark)
+    folder, kept = shared_folder(spark), shared_folder(spark)
+    sections = bridge.sections(spark, sf_dir)
+    for delivery in ("Year < 1998", "Year >= 1998"):
+        _term_files(sections.where(delivery)).write.format("report_files").mode("append").save(folder)
+        stream = spark.readStream.format("report_files").option("content", "true").load(folder)
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{kept}/checkpoint").trigger(availableNow=True).start(
+            f"{kept}/rows").awaitTermination()
+    return _term_counts(spark.read.schema(stream.schema).parquet(f"{kept}/rows"))
+
+
 @query(TOLD["stream_ingest"])
 def append_once(spark, sf_dir):
     """Three deliveries that overlap; every file counts once."""
