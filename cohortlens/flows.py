@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import bridge
 from .catalog import NOMINAL, NUMERIC, Query, _digits, _prepared
 from .codes import COLLEGE_CODES
+from .functions.text import slug
 from .operators import association, courses, distinct, grid, reports, worklist
 from .operators import sections as sec
 from .oracles import ORACLES as TOLD
@@ -18,7 +19,7 @@ from .oracles import NUMERIC as _SQL_NUMERIC
 from .oracles import PEARSON, PREPARED, RANKED, S, G, _long, _r
 from .scale import remove_folder, shared_folder, stage
 from .schemas import COURSE_GPA, GPA_METRICS
-from .sources import colocated, files, report_files, tables
+from .sources import colocated, files, page_files, report_files, tables
 from .sources.versions import TableSet
 from .streaming.arrivals import Arrivals, take_arrivals
 
@@ -160,6 +161,48 @@ def report_folder_stream(spark, sf_dir):
     return _term_counts(spark.read.schema(stream.schema).parquet(f"{kept}/rows"))
 
 
+def _slug(column: str) -> str:
+    return f"lower(trim(regexp_replace({column}, '[^\\p{{L}}\\p{{N}}]', '_', 'g'), '_'))"
+
+
+@query(f"""SELECT url AS major, {_slug('url')} AS stem, md5(html) AS page_md5, length(html) AS n_chars, 'cached' AS status FROM pages WHERE html <> ''
+UNION ALL SELECT url, {_slug('url')}, NULL, NULL, 'to fetch' FROM pages WHERE coalesce(html, '') = ''
+UNION ALL SELECT r_name, {_slug('r_name')}, NULL, NULL, 'to fetch' FROM region""")
+def page_folder(spark, sf_dir):
+    """Sources with their cached pages, and those still to be fetched; the cache is written and read by its format."""
+    page_files.register(spark)
+    folder = shared_folder(spark)
+    pages = bridge.table(spark, sf_dir, "pages").select(F.col("url").alias("major"), "html")
+    pages.select(slug("major").alias("stem"), "html").write.format("page_files").mode("append").save(folder)
+    # Regions have no page.
+    sources = pages.select("major").unionByName(bridge.table(spark, sf_dir, "region").select(F.col("r_name").alias("major")))
+    cached = spark.read.format("page_files").option("content", "true").load(folder).select("stem", "html")
+    found = files.pages_of(sources, cached).select(
+        "major", slug("major").alias("stem"), F.md5("html").alias("page_md5"), F.length("html").cast("long").alias("n_chars"),
+        F.lit("cached").alias("status"))
+    listed = spark.read.format("page_files").load(folder)
+    missing = files.pages_to_fetch(sources, listed).select(
+        "major", slug("major").alias("stem"), F.lit(None).cast("string").alias("page_md5"), F.lit(None).cast("long").alias("n_chars"),
+        F.lit("to fetch").alias("status"))
+    return found.unionByName(missing)
+
+
+@query(f"SELECT {_slug('url')} AS stem, md5(html) AS page_md5, length(html) AS n_chars FROM pages WHERE html <> ''")
+def page_folder_stream(spark, sf_dir):
+    """Pages fetched in two deliveries, the second with all of the first again, taken by one stream that stops in between."""
+    page_files.register(spark)
+    folder, kept = shared_folder(spark), shared_folder(spark)
+    pages = bridge.table(spark, sf_dir, "pages").select(slug("url").alias("stem"), "html")
+    # A first delivery of half fetched pages, then the whole ones.
+    for html in (F.expr("left(html, cast(length(html) / 2 AS int))"), F.col("html")):
+        pages.select("stem", html.alias("html")).write.format("page_files").mode("append").save(folder)
+        stream = spark.readStream.format("page_files").option("content", "true").load(folder)
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{kept}/checkpoint").trigger(availableNow=True).start(
+            f"{kept}/rows").awaitTermination()
+    taken = page_files.newest(spark.read.schema(stream.schema).parquet(f"{kept}/rows"))
+    return taken.select("stem", F.md5("html").alias("page_md5"), F.length("html").cast("long").alias("n_chars"))
+
+
 @query(TOLD["stream_ingest"])
 def append_once(spark, sf_dir):
     """Three deliveries that overlap; every file counts once."""

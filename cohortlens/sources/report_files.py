@@ -63,8 +63,13 @@ class Slice(D.InputPartition):
         self.rows = rows
 
 
-class _Read:
-    """What batches and streams share: packing files and reading them."""
+class Read:
+    """What batches and streams share: packing files and reading them.
+
+    The listing gives rows of `listed`, by time and path; the last two values are length and time.
+    """
+
+    listed, body = LISTED, ("content", pa.binary())
 
     def __init__(self, options: dict[str, str]) -> None:
         self.folder = options["path"]
@@ -73,6 +78,9 @@ class _Read:
         self.years = int(options.get("firstYear", 0)), int(options.get("lastYear", 9999))
         self.colleges, self.types = (_names(options.get(n)) for n in ("colleges", "reportTypes"))
 
+    def listing(self) -> list[tuple]:
+        return listing(self.folder)
+
     def wanted(self, row: tuple) -> bool:
         _, kind, year, _, college, *_ = row
         first, last = self.years
@@ -82,11 +90,11 @@ class _Read:
         """The wanted files, so many to a partition."""
         slices, size = [], 0
         for row in filter(self.wanted, rows):
-            if not slices or size + row[5] > self.most or len(slices[-1].rows) == MOST_FILES:
+            if not slices or size + row[-2] > self.most or len(slices[-1].rows) == MOST_FILES:
                 slices.append(Slice([]))
                 size = 0
             slices[-1].rows.append(row)
-            size += row[5]
+            size += row[-2]
         return slices
 
     def read(self, partition: Slice | None) -> Iterator[pa.RecordBatch]:
@@ -109,30 +117,39 @@ class _Read:
     def _batch(self, rows: list[tuple], bodies: list[bytes]) -> pa.RecordBatch:
         *parts, times = zip(*rows)
         times = [datetime.fromtimestamp(t / 1e9, timezone.utc) for t in times]
-        arrays = [pa.array(values, kind) for values, (_, _, kind) in zip([*parts, times], LISTED)]
-        names = [name for name, _, _ in LISTED]
+        arrays = [pa.array(values, kind) for values, (_, _, kind) in zip([*parts, times], self.listed)]
+        names = [name for name, _, _ in self.listed]
         if self.content:
-            arrays.append(pa.array(bodies, pa.binary()))
-            names.append("content")
+            name, kind = self.body
+            arrays.append(pa.array(bodies, kind))
+            names.append(name)
         return pa.RecordBatch.from_arrays(arrays, names)
 
 
-class Batch(_Read, D.DataSourceReader):
+class Batch(Read, D.DataSourceReader):
     def partitions(self) -> list[Slice]:
-        return self.packed(listing(self.folder))
+        return self.packed(self.listing())
 
 
-class Stream(_Read, D.DataSourceStreamReader):
+class Stream(Read, D.DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"modified": -1, "path": ""}
 
     def latestOffset(self) -> dict:
-        rows = listing(self.folder)
+        rows = self.listing()
         return {"modified": rows[-1][-1], "path": rows[-1][0]} if rows else self.initialOffset()
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
         first, last = ((o["modified"], o["path"]) for o in (start, end))
-        return self.packed([r for r in listing(self.folder) if first < (r[-1], r[0]) <= last])
+        return self.packed([r for r in self.listing() if first < (r[-1], r[0]) <= last])
+
+
+def put(files: fs.FileSystem, root: str, name: str, content: bytes) -> None:
+    """Write a file under a name that no reader takes, and move it into place when it is whole."""
+    begun = f"{root}/.{uuid.uuid4().hex}"
+    with files.open_output_stream(begun) as out:
+        out.write(content)
+    files.move(begun, f"{root}/{name}")
 
 
 class Writer(D.DataSourceArrowWriter):
@@ -148,11 +165,7 @@ class Writer(D.DataSourceArrowWriter):
                 name = "_".join(map(str, named)) + f".{self.ending}"
                 if None in named or not NAME.fullmatch(name):
                     raise ValueError(f"not the name of a report file: {name}")
-                # A name that no reader takes, until the file is whole.
-                begun = f"{root}/.{uuid.uuid4().hex}"
-                with files.open_output_stream(begun) as out:
-                    out.write(content or b"")
-                files.move(begun, f"{root}/{name}")
+                put(files, root, name, content or b"")
         return D.WriterCommitMessage()
 
 
