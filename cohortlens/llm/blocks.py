@@ -17,7 +17,8 @@ Spark, page by page.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by a line feed. Scripts, styles and comments in the markup are
-never blocks. Null and empty pages, and pages without content, give an empty
+never blocks. A frame, drawing, template, object, canvas or noscript element is none up to its own
+end tag; where that is missing, it hides nothing and the text behind it is read. Null and empty pages, and pages without content, give an empty
 text. Repeated rows get the same text.
 """
 
@@ -55,7 +56,8 @@ BLOCK_TAGS = frozenset(
     " summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|noscript|template|svg|iframe|object|canvas"
+RAW_TAGS = "script|style"  # without an end tag they run to the end of the page
+HIDDEN_TAGS = "noscript|template|svg|object|canvas"  # may nest; without an end tag they hide nothing
 SEMANTIC = ("article", "main")
 BOILERPLATE = frozenset("nav header footer aside form head button select menu dialog textarea fieldset title".split())
 BOILERPLATE_WORDS = (
@@ -68,12 +70,16 @@ CLOSED_BY = {
     "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}, "head": {"body"},
 }
 
+_SKIPPED = r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<raw>" + RAW_TAGS + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+_ATTRIBUTES = r"(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
-    r"|<(?P<raw>" + RAW_TAGS + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    _SKIPPED + r"|<svg(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
+    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)" + _ATTRIBUTES +
     r"|<[!?/][^>]*>?|<[A-Za-z][^>]*>?|(?P<text>[^<]+|<)", re.S | re.I,
 )
+_NESTED = re.compile(_SKIPPED + r"|<(?P<close>/?)(?P<tag>" + HIDDEN_TAGS + r")(?=[\s/>])" + _ATTRIBUTES, re.S | re.I)
+_HIDDEN = frozenset(HIDDEN_TAGS.split("|"))
+_FRAME_END = re.compile(r"</iframe\s*>", re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 
@@ -92,6 +98,45 @@ def _element(tag: str, rest: str) -> str:
     return f"{tag}.{'.'.join(names)}" if names else tag
 
 
+def _hidden(page: str) -> dict[int, int]:
+    """Where hidden elements begin and end; those without an end tag are left out."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {tag: [] for tag in _HIDDEN}
+    for m in _NESTED.finditer(page):
+        if m["tag"] is None:
+            continue
+        tag = m["tag"].lower()
+        if not m["close"]:
+            if tag != "svg" or not m["rest"].endswith("/"):
+                opened[tag].append(m.start())
+        elif opened[tag]:
+            found[opened[tag].pop()] = m.end()
+    return found
+
+
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Tokens outside of hidden elements and frames."""
+    hidden: dict[int, int] | None = None
+    frames = True  # whether an end tag of a frame may follow
+    place: int | None = 0
+    while place is not None:
+        start, place = place, None
+        for m in _TOKEN.finditer(page, start):
+            if m["tag"] is not None and not m["close"]:
+                tag = m["tag"].lower()
+                if tag in _HIDDEN:
+                    if hidden is None:
+                        hidden = _hidden(page)
+                    place = hidden.get(m.start())
+                elif tag == "iframe" and frames:
+                    end = _FRAME_END.search(page, m.end())
+                    frames = end is not None
+                    place = end.end() if end else None
+                if place is not None:
+                    break
+            yield m
+
+
 def cut(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     """Blocks in order: tag path, text, share of linked text."""
     stack: list[str] = []  # elements, tag first
@@ -99,7 +144,7 @@ def cut(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     blocks: list[Block] = []
     current: Block | None = None
     links = 0
-    for m in _TOKEN.finditer(page):
+    for m in _tokens(page):
         text = m["text"]
         if text is not None:
             if current is None:

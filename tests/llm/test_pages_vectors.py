@@ -1,5 +1,7 @@
 """Block labelling of pages, nearest neighbours, and the pipeline."""
 
+import time
+
 import numpy as np
 import pytest
 from cases import collected, none, odd_documents, odd_rows, with_clashes, words
@@ -64,6 +66,33 @@ def test_drawings_formulas_and_custom_elements_do_not_cut_a_page():
         assert [t for _, t, _ in blocks.cut(f"<article>{body}</article>")] == want
 
 
+def test_text_behind_an_element_without_an_end_tag_is_read():
+    for page, want in [
+        ("<p>one</p><object data=x><p>two</p>", ["one", "two"]),
+        ("<p>one</p><canvas id=c><p>two</p>", ["one", "two"]),
+        ("<p>one</p><noscript><p>two</p>", ["one", "two"]),
+        ("<p>one</p><iframe src=x><p>two</p>", ["one", "two"]),
+        ("<object>one<object>no</object>", ["one"]),
+        # Empty comments and comments that end in a mark.
+        ("<p>a</p><!--><p>b</p><!---><p>c</p><!-- no --!><p>d</p><!-- no --><p>e", ["a", "b", "c", "d", "e"]),
+        # Elements inside their like.
+        ("<p>a</p><svg><svg>no</svg>no</svg><p>b</p>", ["a", "b"]),
+        ("<p>a</p><template><div><template>no</template>no</div></template>b", ["a", "b"]),
+        # Tags inside scripts, and openings of comments inside frames, do not count.
+        ('<object><script>"<object>"</script>no</object>a', ["a"]),
+        ("<iframe><!-- no</iframe><p>a</p><!-- no -->", ["a"]),
+        ("<p>a</p><script>no", ["a"]),
+    ]:
+        assert [t for _, t, _ in blocks.cut(page)] == want, page
+
+
+def test_many_open_elements_take_linear_time():
+    for page in ("<object>" * 100_000, "<iframe>" * 100_000, "<svg>" * 50_000 + "</svg>" * 50_000):
+        begin = time.perf_counter()
+        assert blocks.cut(page) == []
+        assert time.perf_counter() - begin < 10
+
+
 def test_lstm_gradients_agree_with_differences():
     rng = np.random.default_rng(2)
     net = blocks.Labeller()
