@@ -43,12 +43,14 @@ from .texts import bytes_of, kept, pieces, texts, word_hashes
 CLASSES = 64
 WORDS = CLASSES * CLASSES
 TABLE = 1 << 18
+SLOTS = 1 << 20  # of the index over the table, addressed by the low bits of a hash
 HIDDEN = 24
 STEPS = 32
 FEW, LANES, LEAST = 64, 512, 32
 WARM, WARM_BYTES = 400, 1 << 16
 SIDE = 1024  # texts scored side by side
 ROWS = 2048  # of outputs worked through at a time
+HELD = 1 << 15  # states held for the outputs while scoring
 END_WORD = np.int64(-1)  # stands for the end in the count table
 RARE, END, BEGIN = WORDS, WORDS + 1, WORDS + 2
 
@@ -87,21 +89,43 @@ class Table:
     """The most frequent words with their counts, and the sums over all words."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, ends: int, tokens: int, distinct: int, once: int) -> None:
-        order = np.argsort(words)
-        self.words, self.counts, self.rank = words[order], counts[order], order  # given by rank
-        self.by_rank = counts
+        self.words, self.by_rank = words, counts  # by rank
+        self.slots: np.ndarray | None = None
         self.ends, self.tokens, self.distinct = ends, tokens, distinct
         self.rare = tokens - ends - int(counts[:WORDS].sum())
         self.unseen = min(max(once / self.rare, 1e-6), 0.5) if self.rare > 0 else 1.0
 
+    def __getstate__(self) -> dict:
+        """The index is built where it is used, not sent."""
+        return self.__dict__ | {"slots": None, "shared": None, "order": None}
+
+    def _index(self) -> None:
+        """The first word by rank of every slot, and the slots that more words ask for."""
+        slot = self.words & (SLOTS - 1)
+        self.slots = np.full(SLOTS, -1, np.int32)
+        self.slots[slot[::-1]] = np.arange(len(slot) - 1, -1, -1, dtype=np.int32)
+        self.shared = np.bincount(slot, minlength=SLOTS) > 1
+        self.order = np.argsort(self.words)
+
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (-1: not in the table) and count of each word."""
         if not len(self.words):
             return np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        if self.slots is None:
+            self._index()
         words = hashes.view(np.int64)
-        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        good = self.words[place] == words
-        return np.where(good, self.rank[place], -1), np.where(good, self.counts[place], 0)
+        slot = words & (SLOTS - 1)
+        rank = self.slots[slot]
+        wrong = np.flatnonzero((self.words[rank] != words) | (rank < 0))
+        # Another word of the same slot.
+        other = wrong[self.shared[slot[wrong]]]
+        rank[wrong] = -1
+        if len(other):
+            asked = words[other]
+            place = np.minimum(np.searchsorted(self.words, asked, sorter=self.order), len(self.words) - 1)
+            found = self.order[place]
+            rank[other] = np.where(self.words[found] == asked, found, -1)
+        return rank, np.where(rank >= 0, self.by_rank[rank], 0)
 
 
 def tokens(table: Table, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,14 +143,18 @@ def _with_ends(numbers: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, at + np.arange(n + 1)
 
 
-def _softmax(h: np.ndarray, w: np.ndarray, goal: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
+def _large(w: np.ndarray) -> np.ndarray:
+    """Whether the logits by these weights could overflow: states lie within -1 and 1, the last row is the bias."""
+    return np.abs(w[..., :-1, :]).sum(axis=-2).max(axis=-1) + w[..., -1, :].max(axis=-1) > 60
+
+
+def _softmax(h: np.ndarray, w: np.ndarray, large: bool, goal: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
     """Log probability of the goal of each row; with `back`, the second result is the gradient by the logits.
 
     The last entry of a row of `h` is 1, the last row of `w` the bias.
     """
     e = h @ w
-    # States lie within -1 and 1; only weights this large could overflow.
-    if np.abs(w[:-1]).sum(axis=0).max() + w[-1].max() > 60:
+    if large:
         np.minimum(e, 60, out=e)
     rows = np.arange(len(h))
     log_p = e[rows, goal]
@@ -198,12 +226,13 @@ class Network:
         h = np.concatenate((h, np.ones((len(h), 1), h.dtype)), axis=1)[order]
         class_w = np.concatenate((w["class_w"], w["class_b"][None]))
         word_w = np.concatenate((w["word_w"], w["word_b"][:, None]), axis=1)
+        class_large, word_large = bool(_large(class_w)), _large(word_w).tolist()
         log_p = np.empty(len(h), h.dtype)
         if back:
             class_g, word_g, dh = np.zeros_like(class_w), np.zeros_like(word_w), np.empty((len(h), HIDDEN), h.dtype)
         for first in range(0, len(h), ROWS):
             part = slice(first, first + ROWS)
-            log_p[part], gap = _softmax(h[part], class_w, group[part], back)
+            log_p[part], gap = _softmax(h[part], class_w, class_large, group[part], back)
             if back:
                 class_g += h[part].T @ gap
                 dh[part] = gap @ w["class_w"].T
@@ -211,7 +240,7 @@ class Network:
         for c in range(CLASSES):
             for first in range(bounds[c], bounds[c + 1], ROWS):
                 part = slice(first, min(first + ROWS, bounds[c + 1]))
-                more, gap = _softmax(h[part], word_w[c], word[part], back)
+                more, gap = _softmax(h[part], word_w[c], word_large[c], word[part], back)
                 log_p[part] += more
                 if back:
                     word_g[c] += h[part].T @ gap
@@ -322,6 +351,14 @@ class Network:
             h = np.zeros((HIDDEN, len(group)), np.float32)
             last = np.full(len(group), BEGIN, np.int32)
             total = np.zeros(len(group))
+            held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # states, goals and texts of windows
+
+            def add() -> None:
+                """Outputs of the held windows at once: late windows have few texts."""
+                states, goals, owners = (np.concatenate(side) for side in zip(*held))
+                held.clear()
+                np.add(total, np.bincount(owners, self.outputs(states, goals), len(group)), out=total)
+
             for t in range(0, int(sizes[0]), 64):
                 steps = np.arange(t, int(min(t + 64, sizes[0])))
                 live = np.searchsorted(-sizes, -steps, "left")  # texts longer than so many tokens
@@ -335,8 +372,11 @@ class Network:
                     states.append(h.T)
                 last = block[-1]
                 real = np.arange(alive) < live[:, None]
-                log_p = self.outputs(np.concatenate(states), block[real])
-                total += np.bincount(np.nonzero(real)[1], log_p, len(group))
+                held.append((np.concatenate(states), block[real], np.nonzero(real)[1]))
+                if sum(len(goals) for _, goals, _ in held) >= HELD:
+                    add()
+            if held:
+                add()
             out[group] = total
         return out
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -304,6 +305,20 @@ def test_language_learns_from_every_training_text(spark):
     assert gain[0] > 20
 
 
+def test_words_that_share_a_slot_of_the_index(monkeypatch):
+    rng = np.random.default_rng(4)
+    words_ = rng.integers(-2**62, 2**62, 3000)
+    counts = np.sort(rng.integers(1, 99, 3000))[::-1]
+    asked = np.concatenate((words_, words_ + 1, [0, -1, 7])).astype(np.int64)
+    want = {w: i for i, w in enumerate(words_.tolist())}
+    for slots in (1, 1 << 6, 1 << 20):
+        monkeypatch.setattr(language, "SLOTS", slots)
+        table = pickle.loads(pickle.dumps(language.Table(words_, counts, 5, 10**6, 3000, 3)))
+        rank, count = table.look_up(asked.view(np.uint64))
+        assert rank.tolist() == [want.get(w, -1) for w in asked.tolist()]
+        assert count.tolist() == [int(counts[want[w]]) if w in want else 0 for w in asked.tolist()]
+
+
 def test_language_training_takes_the_last_tokens_of_a_stream():
     table = language.Table(np.arange(10, 60, dtype=np.int64), np.full(50, 9), 5, 455, 51, 3)
     nets = []
