@@ -41,6 +41,8 @@ SIMILAR = 85  # percent
 SHINGLE = 5
 # Rows of a block of a pool; beyond eight of the largest, a pool has more blocks.
 LEAST_BLOCK, LARGEST_BLOCK = 512, 8192
+# Links that `components` leaves to one task, whatever the size of the input.
+ONE_TASK = 20_000
 
 _rng = np.random.default_rng(5)
 _FACTOR = _rng.integers(1, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -178,40 +180,68 @@ def _cell_links(rows: pd.DataFrame) -> pd.DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").where(_similar("set_a", "set_b")).select("a", "b").distinct()
+    return pairs.join(left, "a").join(right, "b").where(_similar("set_a", "set_b")).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """`node` and `component`, its smallest reachable node, of every node of `links` (a < b).
+def _roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every node of at most `ONE_TASK` links, and the smallest node it is connected with."""
+    root: dict[int, int] = {}
 
-    Each round hooks the root of every node to the smallest root around it and
-    then halves the paths, so long chains take few rounds.
-    """
-    labels = kept(
-        links.select(F.col("b").alias("node"), F.col("a").alias("component"))
-        .unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("component")))
-        .groupBy("node").agg(F.min("component").alias("component")),
-    )
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root.setdefault(up, up)
+        return x
+
+    for rows in batches:
+        for a, b in zip(rows["a"].tolist(), rows["b"].tolist()):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    yield pd.DataFrame({"from": list(root), "to": [find(x) for x in list(root)]}, dtype="int64")
+
+
+def _hooks(links: DataFrame) -> DataFrame:
+    """Nodes that have a lower neighbour, and where hooking each to its smallest one leads in the end."""
+    hooks = kept(links.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to")))
     while True:
-        a = labels.select(F.col("node").alias("a"), F.col("component").alias("root_a"))
-        b = labels.select(F.col("node").alias("b"), F.col("component").alias("root_b"))
-        across = links.join(a, "a").join(b, "b").where("root_a != root_b")
-        hooks = across.select(
-            F.greatest("root_a", "root_b").alias("component"), F.least("root_a", "root_b").alias("lower")
-        ).groupBy("component").agg(F.min("lower").alias("lower"))
+        on = hooks.select(F.col("from").alias("mid"), F.col("to").alias("end"))
         seen = Observation()
-        hooks = kept(hooks.observe(seen, F.count(F.lit(1)).alias("n")))
-        moved = labels.join(hooks, "component", "left").select(
-            "node", F.coalesce("lower", "component").alias("component")
-        )
-        # A root may itself have been hooked: follow it once.
-        up = hooks.select(F.col("component").alias("mid"), F.col("lower").alias("top"))
-        labels = kept(
-            moved.join(up, moved["component"] == up["mid"], "left")
-            .select("node", F.coalesce("top", "component").alias("component")),
+        hooks = kept(
+            hooks.join(on, F.col("to") == F.col("mid"), "left").observe(seen, F.count("end").alias("n"))
+            .select("from", F.coalesce("end", "to").alias("to"))
         )
         if seen.get["n"] == 0:
+            return hooks
+
+
+def components(links: DataFrame) -> DataFrame:
+    """`node` and `component`, its smallest reachable node, of every node of `links` (a < b; a kept table).
+
+    Each round hooks every node that has a lower neighbour to the smallest one, follows
+    the hooks to their ends by doubling, and goes on with the links between these ends, so
+    the graph shrinks however long its chains are. Once at most `ONE_TASK` links are left,
+    one task solves the rest.
+    """
+    labels = None
+    while True:
+        last = links.count() <= ONE_TASK
+        hooks = kept(links.repartition(1).mapInPandas(frugal(_roots), "from long, to long")) if last else _hooks(links)
+        if labels is None and last:
+            return hooks.select(F.col("from").alias("node"), F.col("to").alias("component"))
+        if labels is None:
+            labels = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
+        labels = kept(_moved(labels, hooks, "component"))
+        if last:
             return labels
+        links = kept(
+            _moved(_moved(links, hooks, "a"), hooks, "b").where("a != b")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        )
+
+
+def _moved(df: DataFrame, hooks: DataFrame, column: str) -> DataFrame:
+    """`df` with the nodes in `column` replaced by where they hook to."""
+    moved = df.join(hooks, F.col(column) == F.col("from"), "left")
+    return moved.withColumn(column, F.coalesce("to", column)).drop("from", "to")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -264,7 +294,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_lists = kept(labelled.join(mixed, "key"))
     # Classes connected by such lists form a pool; pairs are looked for inside of pools only.
     pools = components(
-        open_lists.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+        kept(open_lists.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct())
     ).select(F.col("node").alias("rep"), F.col("component").alias("pool"))
     sizes = pools.groupBy("pool").agg(F.count("*").alias("size")).withColumn(
         "blocks", F.ceil(F.col("size") / F.least(F.lit(LARGEST_BLOCK), F.greatest(F.lit(LEAST_BLOCK), F.col("size") / 8)))
@@ -279,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     more = kept(
         cells.repartition(parts, "pool", "c", "d").sortWithinPartitions("pool", "c", "d", "rep")
-        .mapInPandas(frugal(_across), "a long, b long").distinct(),
+        .mapInPandas(frugal(_across), "a long, b long"),
     )
     labels = components(links.unionByName(more))
 
