@@ -51,12 +51,14 @@ TRAIN_SENTENCES = 6
 # Words whose kernel rows a task remembers (128 bytes each, and the word), and bytes of text it reads at a time.
 REMEMBERED = 100_000
 PIECE = 1 << 20
-_LETTERS = 32
+_BITS = 5  # of a letter's number
+_LETTERS = 1 << _BITS
 _TRIPLES = [c for n in range(ORDER, WIDTH + 1) for c in combinations(range(n), ORDER) if c[-1] == n - 1]
 _COUNT = [sum(c[-1] < n for c in _TRIPLES) for n in range(WIDTH + 1)]
 _PLACES = np.array(_TRIPLES).T
 _WEIGHT = DECAY ** (_PLACES[-1] - _PLACES[0] + 1).astype(np.float32)
 _NO_LETTER = regex.compile(r"\P{L}+")
+_NO_LETTER_IN_LINE = regex.compile(r"[^\p{L}\n]+")
 _END = regex.compile(r"[.!?]\P{L}*$")
 
 
@@ -64,34 +66,47 @@ def letters(word: str) -> str:
     """Letters of a word, lower case, without accents."""
     if word.isascii() and word.isalpha():
         return word.lower()
-    plain = unicodedata.normalize("NFKD", word.lower())
-    return _NO_LETTER.sub("", "".join(c for c in plain if not unicodedata.combining(c)))
+    return _NO_LETTER.sub("", unicodedata.normalize("NFKD", word.lower()))
 
 
-def windows(word: str) -> list[str]:
-    if len(word) <= WIDTH:
-        return [word]
-    starts = [*range(0, len(word) - WIDTH, STRIDE), len(word) - WIDTH]
-    return [word[i : i + WIDTH] for i in starts]
+def letters_of(words: list[str]) -> list[str]:
+    """`letters` of words in lower case that hold no line feed, all at once."""
+    return _NO_LETTER_IN_LINE.sub("", unicodedata.normalize("NFKD", "\n".join(words))).split("\n") if words else []
 
 
-def _codes(strings_: list[str]) -> np.ndarray:
-    """Letters as numbers 1 to 31, padded with 0."""
-    flat = np.frombuffer("".join(s.ljust(WIDTH, "\0") for s in strings_).encode("utf-32-le"), np.uint32)
-    flat = flat.reshape(-1, WIDTH).astype(np.int32)
+def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the words as packed numbers, in order, and the place of each one's word."""
+    flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int32)
     small = (flat >= 97) & (flat <= 122)
-    return np.where(flat == 0, 0, np.where(small, flat - 96, 27 + flat % 5))
-
-
-def features(strings_: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per string: the codes of its subsequences, their weights, and its kernel with itself."""
-    codes = _codes(strings_)
+    # Letters as numbers 1 to 31; 0 beyond the end of a word.
+    code = np.concatenate((np.where(small, flat - 96, 27 + flat % 5), np.zeros(WIDTH, np.int32)))
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    count = np.maximum(size - WIDTH + STRIDE - 1, 0) // STRIDE + 1
+    owner = np.repeat(np.arange(len(words)), count)
+    turn = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    size, begin = size[owner], (np.cumsum(size) - size)[owner]
+    start = np.minimum(turn * STRIDE, np.maximum(size - WIDTH, 0))
+    packed = np.zeros(len(owner), np.int64)
+    for j in range(WIDTH):
+        packed = packed << _BITS | np.where(start + j < size, code[np.minimum(begin + start + j, len(flat))], 0)
+    return packed, owner
+
+
+def _columns(packed: np.ndarray) -> list[np.ndarray]:
+    """The letters of windows, a row for each place in the window."""
+    return [(packed >> _BITS * (WIDTH - 1 - j) & _LETTERS - 1).astype(np.int32) for j in range(WIDTH)]
+
+
+def features(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per window: the codes of its subsequences, their weights, and its kernel with itself."""
+    codes = np.stack(_columns(packed), axis=1)
     a, b, c = (codes[:, p] for p in _PLACES)
     subsequence = (a * _LETTERS + b) * _LETTERS + c
     weight = np.where(c > 0, _WEIGHT, np.float32(0))
-    order = np.argsort(subsequence, axis=1)
-    by = np.take_along_axis(subsequence, order, 1)
-    total = np.cumsum(np.take_along_axis(weight, order, 1), axis=1, dtype=np.float64)
+    # One sort of numbers that also hold the places, 56 at most.
+    by = np.sort(subsequence << 6 | np.arange(len(_TRIPLES), dtype=np.int32), axis=1)
+    by, place = by >> 6, by & 63
+    total = np.cumsum(np.where(by % _LETTERS > 0, _WEIGHT[place], np.float32(0)), axis=1, dtype=np.float64)
     # The sum of each run of equal subsequences, squared.
     last = np.ones(by.shape, bool)
     last[:, :-1] = by[:, 1:] != by[:, :-1]
@@ -107,7 +122,7 @@ class Kernel:
 
     def __init__(self, landmarks: list[str]) -> None:
         self.landmarks = landmarks
-        subsequence, weight, own = features(landmarks)
+        subsequence, weight, own = features(windows(landmarks)[0])
         self.table = np.zeros((_LETTERS**ORDER, len(landmarks)), np.float32)
         for i in range(len(landmarks)):
             np.add.at(self.table[:, i], subsequence[i], weight[i] / np.sqrt(max(own[i], 1e-12)))
@@ -115,20 +130,25 @@ class Kernel:
         self.known = self.table.any(axis=1)
 
     def __call__(self, strings_: list[str]) -> np.ndarray:
-        out = np.zeros((len(strings_), len(self.landmarks)), np.float32)
-        for first in range(0, len(strings_), 4096):
-            part = strings_[first : first + 4096]
-            codes = _codes(part)
-            a, b, c = (codes[:, p] for p in _PLACES)
-            near = self.known[(a * _LETTERS + b) * _LETTERS + c].any(axis=1)
-            rows = np.flatnonzero(near)
+        """A row for each string of at most `WIDTH` letters."""
+        return self.of(windows(strings_)[0])
+
+    def of(self, packed: np.ndarray) -> np.ndarray:
+        """A row for each window."""
+        out = np.zeros((len(packed), len(self.landmarks)), np.float32)
+        for first in range(0, len(packed), 4096):
+            part = packed[first : first + 4096]
+            letter = _columns(part)
+            shared = np.stack([self.known[(letter[a] << _BITS | letter[b]) << _BITS | letter[c]] for a, b, c in _TRIPLES], axis=1)
+            rows = np.flatnonzero(shared.any(axis=1))
             if not len(rows):
                 continue
-            subsequence, weight, own = features([part[i] for i in rows])
+            subsequence, weight, own = features(part[rows])
             scale = (weight / np.sqrt(np.maximum(own, 1e-12))[:, None]).astype(np.float32)
-            total = np.zeros((len(rows), len(self.landmarks)), np.float32)
-            for j in range(subsequence.shape[1]):
-                total += self.table[subsequence[:, j]] * scale[:, j : j + 1]
+            # Of the subsequences of a window few are in a landmark; only they count.
+            row, j = np.nonzero(shared[rows])
+            each = self.table[subsequence[row, j]] * scale[row, j][:, None]
+            total = np.add.reduceat(each, np.flatnonzero(np.diff(row, prepend=-1)), axis=0)
             out[first + rows] = np.minimum(total, 1.0) ** POWER
         return out
 
@@ -142,43 +162,56 @@ class Reader:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.used = 1  # row 0 is that of no word
+        # Per word: its kernel row, whether it is one letter, whether it ends a sentence.
+        self.row, self.single, self.ends = np.zeros(4096, np.int32), np.zeros(4096, bool), np.zeros(4096, bool)
+        self.used = 1  # row 0 is that of words without a match
         self.rows = np.zeros((4096, len(self.kernel.landmarks)), np.float32)
-        self.single, self.ends = np.zeros(4096, bool), np.zeros(4096, bool)
-
-    def _grow(self, size: int) -> None:
-        """Room for so many rows; arrays at least double."""
-        if size > len(self.rows):
-            size = max(size, 2 * len(self.rows))
-            for name in ("rows", "single", "ends"):
-                old = getattr(self, name)
-                new = np.zeros((size, *old.shape[1:]), old.dtype)
-                new[: self.used] = old[: self.used]
+
+    def _keep(self, words: set[str]) -> None:
+        """Forget all but these words."""
+        again = list(words & self.place.keys())
+        place = np.fromiter(map(self.place.__getitem__, again), np.int64, len(again))
+        single, ends, rows = self.single[place], self.ends[place], self.rows[self.row[place]]
+        self._forget()
+        self._grow(("row", "single", "ends"), len(again))
+        self._grow(("rows",), 1 + len(again))
+        self.place.update(zip(again, range(len(again))))
+        self.row[: len(again)] = np.arange(1, 1 + len(again))
+        self.single[: len(again)], self.ends[: len(again)] = single, ends
+        self.rows[1 : 1 + len(again)] = rows
+        self.used = 1 + len(again)
+
+    def _grow(self, names: tuple[str, ...], size: int) -> None:
+        """Room for so many entries; arrays at least double."""
+        for name in names:
+            old = getattr(self, name)
+            if size > len(old):
+                new = np.zeros((max(size, 2 * len(old)), *old.shape[1:]), old.dtype)
+                new[: len(old)] = old
                 setattr(self, name, new)
 
     def _learn(self, words: set[str]) -> None:
-        new = sorted(words - self.place.keys())
+        new = list(words - self.place.keys())
         if not new:
             return
         if len(self.place) + len(new) > REMEMBERED and self.place:
-            self._forget()
-            new = sorted(words)
-        plain = [letters(w) for w in new]
-        cut = [windows(p) for p in plain]
-        owner = np.repeat(np.arange(len(new)), [len(c) for c in cut])
-        flat = [w for c in cut for w in c]
-        names = sorted(set(flat))
-        found = self.kernel(names)
-        at = {w: i for i, w in enumerate(names)}
-        base, end = self.used, self.used + len(new)
-        self._grow(end)
-        values = found[[at[w] for w in flat]]
-        hit = values.any(axis=1)
-        np.maximum.at(self.rows[base:end], owner[hit], values[hit])
+            self._keep(words)
+        plain = letters_of(new)
+        packed, owner = windows(plain)
+        packed, at = np.unique(packed, return_inverse=True)
+        found = self.kernel.of(packed)
+        hit = np.flatnonzero(found.any(axis=1)[at])
+        base, end = len(self.place), len(self.place) + len(new)
+        self._grow(("row", "single", "ends"), end)
+        if len(hit):
+            first = np.flatnonzero(np.diff(owner[hit], prepend=-1))
+            self._grow(("rows",), self.used + len(first))
+            self.rows[self.used : self.used + len(first)] = np.maximum.reduceat(found[at[hit]], first, axis=0)
+            self.row[base + owner[hit[first]]] = np.arange(self.used, self.used + len(first))
+            self.used += len(first)
         self.place.update(zip(new, range(base, end)))
         self.single[base:end] = [len(p) == 1 for p in plain]
-        self.ends[base:end] = [bool(_END.search(w)) for w in new]
-        self.used = end
+        self.ends[base:end] = [not w.isalpha() and _END.search(w) is not None for w in new]
 
     def sentences(self, batch: list[str]) -> Iterator[np.ndarray]:
         """Per text, one kernel row for each sentence; at least one."""
@@ -191,7 +224,12 @@ class Reader:
                 continue
             place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
             starts = np.concatenate(([0], np.flatnonzero(ends[place[:-1]]) + 1))
-            rows = np.maximum.reduceat(self.rows[place], starts, axis=0)
+            rows = np.zeros((len(starts), self.rows.shape[1]), np.float32)
+            row = self.row[place]
+            if len(hit := np.flatnonzero(row)):
+                sentence = np.searchsorted(starts, hit, "right") - 1
+                first = np.flatnonzero(np.diff(sentence, prepend=-1))
+                rows[sentence[first]] = np.maximum.reduceat(self.rows[row[hit]], first, axis=0)
             alone = single[place]
             if alone.any():
                 rows = self._spelled(words, alone, starts, rows)
@@ -202,9 +240,9 @@ class Reader:
         edge = np.flatnonzero(np.diff(np.concatenate(([0], alone.view(np.int8), [0]))))
         for a, b in zip(edge[::2], edge[1::2]):
             if b - a >= 4:
-                cut = windows("".join(letters(w) for w in words[a:b]))
+                packed, _ = windows(["".join(letters(w) for w in words[a:b])])
                 i = np.searchsorted(starts, a, "right") - 1
-                rows[i] = np.maximum(rows[i], self.kernel(cut).max(axis=0))
+                rows[i] = np.maximum(rows[i], self.kernel.of(packed).max(axis=0))
         return rows
 
 

@@ -442,6 +442,33 @@ def test_kernel_equals_the_sum_over_common_subsequences():
             assert math.isclose(got[i, j], brute(s, t) ** toxicity.POWER, abs_tol=1e-4)
 
 
+def test_words_are_cut_into_windows_all_at_once():
+    odd = ["", "a", "naïve", "e\u0301te\u0301", "i.d.i.o.t", "ﬁnale", "i\u0307zmir", "x1y2", "großartigerweise", "ΑΣ".lower(), "12", "😀z", "abcdefgh", "abcdefghi"]
+    plain = toxicity.letters_of(odd)
+    assert plain == [toxicity.letters(w) for w in odd] and toxicity.letters_of([]) == []
+    packed, owner = toxicity.windows(plain)
+    cut = []
+    for i, w in enumerate(plain):
+        starts = [0] if len(w) <= 8 else [*range(0, len(w) - 8, 2), len(w) - 8]
+        for at in starts:
+            codes = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5 for c in w[at : at + 8]]
+            cut.append((sum(c << 5 * (7 - j) for j, c in enumerate(codes)), i))
+    assert list(zip(packed.tolist(), owner.tolist())) == cut
+
+
+def test_a_full_memory_keeps_the_words_at_hand(monkeypatch):
+    batches = [[words(40, 1)], [words(40, 1) + " " + words(30, 2)], [words(30, 2) + ". " + words(40, 3)], [words(40, 1)]]
+    kernel = toxicity.Kernel(["idiot", "abelo", "snar"])
+    whole = [[r.tolist() for r in rows] for reader in [toxicity.Reader(kernel)] for b in batches for rows in reader.sentences(b)]
+    learnt, cut = [], toxicity.letters_of
+    monkeypatch.setattr(toxicity, "letters_of", lambda new: learnt.append(len(new)) or cut(new))
+    monkeypatch.setattr(toxicity, "REMEMBERED", 60)
+    reader = toxicity.Reader(kernel)
+    assert whole == [[r.tolist() for r in rows] for b in batches for rows in reader.sentences(b)]
+    # The second batch does not fit, but its first 40 words are known: only the others are learnt.
+    assert learnt[1] <= 30
+
+
 def test_toxic_sentences_are_told_apart_also_when_spelled_with_gaps(spark):
     insults = ["blorfik", "snargle", "quimpost"]
     rows, marks = [], []
