@@ -90,8 +90,8 @@ class Vocabulary:
                 out += self.words.findall(part.replace("Σ", "σ").lower())
         return out
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and the n + 1 places where those of each word begin."""
         raw = [w.encode("utf-8") for w in words]
         sizes = np.array([len(r) for r in raw], np.int64)
         flat = np.frombuffer(b"".join(raw), np.uint8)
@@ -106,9 +106,7 @@ class Vocabulary:
         before = np.arange(-1, len(symbol) - 1)
         self._merge(symbol, before, after)
         alive = symbol >= 0
-        kept = symbol[alive]
-        ends = np.concatenate(([0], np.cumsum(alive)))[begin]
-        return [kept[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        return symbol[alive], np.concatenate(([0], np.cumsum(alive)))[begin]
 
     def _merge(self, symbol: np.ndarray, before: np.ndarray, after: np.ndarray) -> None:
         places: dict[int, list[np.ndarray]] = {}
@@ -121,12 +119,12 @@ class Vocabulary:
             at, rank = at[good], rank[good]
             order = np.argsort(rank, kind="stable")
             at, rank = at[order], rank[order]
-            cut = np.flatnonzero(rank[1:] != rank[:-1]) + 1
-            for r, spots in zip(rank[np.concatenate(([0], cut))].tolist(), np.split(at, cut)):
+            cut = [0, *(np.flatnonzero(rank[1:] != rank[:-1]) + 1).tolist()]
+            for r, first, last in zip(rank[cut].tolist(), cut, [*cut[1:], len(at)]):
                 if r in places:
-                    places[r].append(spots)
+                    places[r].append(at[first:last])
                 else:
-                    places[r] = [spots]
+                    places[r] = [at[first:last]]
                     heapq.heappush(active, r)
 
         enter(np.arange(len(symbol) - 1), self.ranks(symbol[:-1], symbol[1:]))
@@ -134,7 +132,8 @@ class Vocabulary:
         while active:
             r = heapq.heappop(active)
             spots = places.pop(r)
-            at = spots[0] if len(spots) == 1 else np.unique(np.concatenate(spots))
+            # A place is listed once per rank: what it holds only grows, so a pair does not come back.
+            at = np.sort(spots[0] if len(spots) == 1 else np.concatenate(spots))
             a, b, new = self.left[r], self.right[r], self.merged[r]
             nxt = after[at]
             # Places that earlier merges have changed no longer hold the pair.
@@ -152,8 +151,9 @@ class Vocabulary:
             inside = beyond <= limit
             before[beyond[inside]] = at[inside]
             left = before[at]
-            left = left[left >= 0]
-            starts = np.unique(np.concatenate((left, at)))
+            other = left >= 0
+            other[1:] &= left[1:] != at[:-1]
+            starts = np.concatenate((left[other], at))
             right = np.minimum(after[starts], limit)
             enter(starts, self.ranks(symbol[starts], symbol[right]))
 
@@ -182,16 +182,21 @@ class Encoder:
         self.shown = {t: t for t in self.vocabulary.special}
 
     def learn(self, words: set[str]) -> None:
-        new = sorted(words - self.ids.keys())
+        new = list(words - self.ids.keys())
         if not new:
             return
         if len(self.ids) + len(new) > REMEMBERED:
+            # The words at hand stay.
+            again = words & self.ids.keys()
+            ids, shown = self.ids, self.shown
             self._forget()
-            new = sorted(words - self.ids.keys())
-        token = self.vocabulary.token
-        for word, found in zip(new, self.vocabulary.encode_words(new)):
-            self.ids[word] = found.astype("<u4").tobytes()
-            self.shown[word] = " ".join([token[i] for i in found.tolist()])
+            self.ids.update((w, ids[w]) for w in again)
+            self.shown.update((w, shown[w]) for w in again)
+        found, at = self.vocabulary.encode_words(new)
+        raw, at = found.astype("<u4").tobytes(), at.tolist()
+        tokens = list(map(self.vocabulary.token.__getitem__, found.tolist()))
+        self.ids.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(new, at, at[1:]))
+        self.shown.update((w, " ".join(tokens[a:b])) for w, a, b in zip(new, at, at[1:]))
 
     def encode(self, batch: list[str]) -> Iterator[tuple[bytes, str]]:
         """Per text: ids as little-endian 32-bit numbers, and the decoded text."""

@@ -71,6 +71,28 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     assert first == [list(encoder.encode([words(40, i), words(45, i + 1)])) for i in range(6)]
 
 
+def test_a_full_memory_of_ids_keeps_the_words_at_hand(monkeypatch):
+    batches = [[words(40, 1)], [words(40, 1) + " <|endoftext|> " + words(30, 2)], [words(30, 2) + " " + words(40, 3)], [words(40, 1)]]
+    encoder = bpe.Encoder(bpe.Vocabulary(WORD_BPE))
+    whole = [list(encoder.encode(b)) for b in batches]
+    learnt, plain = [], bpe.Vocabulary.encode_words
+    monkeypatch.setattr(bpe.Vocabulary, "encode_words", lambda self, new: learnt.append(len(new)) or plain(self, new))
+    monkeypatch.setattr(bpe, "REMEMBERED", 60)
+    encoder = bpe.Encoder(bpe.Vocabulary(WORD_BPE))
+    assert whole == [list(encoder.encode(b)) for b in batches]
+    # The second batch does not fit, but its first 40 words are known: only the others are encoded.
+    assert learnt[1] <= 30
+
+
+def test_merges_of_many_words_at_once_equal_those_of_one():
+    vocabulary, rng = bpe.Vocabulary(WORD_BPE), random.Random(5)
+    many = sorted({"".join(rng.choice("abén") * rng.randint(1, 5) for _ in range(rng.randint(1, 6))) for _ in range(400)})
+    ids, at = vocabulary.encode_words(many)
+    library = Tokenizer.from_file(WORD_BPE)
+    for word, a, b in zip(many, at.tolist(), at.tolist()[1:]):
+        assert ids[a:b].tolist() == library.encode(word, add_special_tokens=False).ids
+
+
 def shingle_sets(rows):
     out = []
     for _, text, *_ in rows:
