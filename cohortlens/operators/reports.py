@@ -72,6 +72,9 @@ def correlation_report(
 ) -> dict[str, DataFrame]:
     """Rank correlations, strongest pairs, associations and instructor aggregates."""
     prepared = for_correlation(sections)
+    # Every table of the report reads the rows, some more than once: they are derived once.
+    used = {*numeric, *nominal, "Instructor", "GPA", "Total", "Pct_A", "Class_Size"}
+    prepared = stage(prepared.select(*(f"`{c}`" for c in prepared.columns if c in used))).df
     ranks = rounded(spearman_pairs(prepared, numeric))
     return {
         "spearman": ranks,
