@@ -61,6 +61,8 @@ def export_all(
     plan: DataFrame, sections: DataFrame, folder: str, aliases: dict[str, list[str]] | None = None
 ) -> None:
     """Write sections, plan rows and the four results below `folder`."""
+    # Both are read several times.
+    sections, plan = stage(sections).df, stage(plan).df
     export_sections(sections, f"{folder}/grade_distributions")
     export_plan_rows(plan, f"{folder}/degree_plan_courses")
     for name, result in analyse(plan, sections, aliases).items():

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sections import sql_names, typed
-from ..scale import stage
+from ..scale import remove_folder, stage
 from ..schemas import PARTITION_COLUMNS
 
 # Target size of a row group in an export.
 ROW_GROUP_BYTES = 128 * 1024 * 1024
+# Majors of plan rows that have a folder each, and folders that more of them share.
+MAJOR_FOLDERS = 1_000
+MAJOR_PARTS = 64
+MAJOR_PART = "major_part"
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -105,8 +109,47 @@ def export_sections(sections: DataFrame, path: str) -> bool:
 
 
 def export_plan_rows(plan: DataFrame, path: str) -> bool:
-    """Write plan rows by major."""
-    return _overwrite(plan.hint("rebalance", "major"), path, ["major"]) > 0
+    """Write plan rows by major; only the majors at hand are replaced.
+
+    Up to `MAJOR_FOLDERS` majors have a folder each. More of them share `MAJOR_PARTS` folders,
+    dealt by hash: a folder and a file for each costs far more than its rows. There the major
+    stays a column and rows lie in its order, so a reader of one major takes one folder and
+    skips row groups by their least and greatest major. A path that has shared folders keeps them;
+    folders of single majors move into them when there are too many. `read_partitioned` reads both.
+    """
+    staged = stage(plan)
+    if staged.rows == 0:
+        return False
+    rows, spark = staged.df, plan.sparkSession
+    names = _folders(spark, path)
+    single = [n for n in names if n.startswith("major=")]
+    shared = any(n.startswith(f"{MAJOR_PART}=") for n in names)
+    majors = rows.select("major").distinct()
+    if not shared and majors.count() <= MAJOR_FOLDERS:
+        return _overwrite(rows.hint("rebalance", "major"), path, ["major"]) > 0
+    rows = rows.withColumn(MAJOR_PART, _major_part())
+    if names:
+        # Rows of other majors in the folders that are written again, or in folders that go.
+        old = spark.read.schema(plan.schema).parquet(path).select(*(f"`{c}`" for c in plan.columns)).withColumn(MAJOR_PART, _major_part())
+        if not single:
+            old = old.join(F.broadcast(rows.select(MAJOR_PART).distinct()), MAJOR_PART, "left_semi")
+        at_hand = majors.select(F.col("major").alias("_major"))
+        kept = old.join(at_hand, F.col("major").eqNullSafe(F.col("_major")), "left_anti")
+        rows = stage(rows.unionByName(kept)).df
+    _overwrite(rows.hint("rebalance", MAJOR_PART).sortWithinPartitions(MAJOR_PART, "major"), path, [MAJOR_PART])
+    for name in single:
+        remove_folder(spark, f"{path}/{name}")
+    return True
+
+
+def _major_part() -> Column:
+    return F.pmod(F.xxhash64("major"), F.lit(MAJOR_PARTS)).cast("int")
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
 
 
 def export_result(result: DataFrame, path: str) -> None:

@@ -142,3 +142,30 @@ def test_the_history_of_running_means_is_compacted(spark, tmp_path):
     want = {"x": (3.0, 3, 2), "y": (5.0, 2, 1), "z": (None, 0, 1)}
     assert run() == want and run() == want
     assert len(list((tmp_path / "out").glob("batch=*"))) == 1
+
+
+def test_many_majors_share_folders(spark, tmp_path, monkeypatch):
+    """Above a number of majors folders are shared; still only the majors at hand are replaced, and older folders move in."""
+    from cohortlens.sources import files, tables
+
+    def names(path):
+        return sorted(p.name.split("=")[0] for p in path.iterdir() if p.is_dir())
+
+    def plan(*rows):
+        return spark.createDataFrame(rows, "major string, hours int")
+
+    def back():
+        return sorted(map(tuple, files.read_partitioned(spark, str(path), plan(("A", 1)).schema).collect()), key=repr)
+
+    path = tmp_path / "plans"
+    assert tables.export_plan_rows(plan(("A", 1), ("A", 2), ("B", 3)), str(path))
+    assert names(path) == ["major", "major"]
+    monkeypatch.setattr(tables, "MAJOR_FOLDERS", 2)
+    monkeypatch.setattr(tables, "MAJOR_PARTS", 2)
+    assert tables.export_plan_rows(plan(*((m, 7) for m in "BCDE")), str(path))
+    assert set(names(path)) == {"major_part"} and len(names(path)) <= 2
+    assert back() == [("A", 1), ("A", 2), ("B", 7), ("C", 7), ("D", 7), ("E", 7)]
+    assert tables.export_plan_rows(plan(("C", 8), (None, 9)), str(path))
+    assert not tables.export_plan_rows(plan(("C", 8)).limit(0), str(path))
+    assert back() == [("A", 1), ("A", 2), ("B", 7), ("C", 8), ("D", 7), ("E", 7), (None, 9)]
+    assert tables.export_plan_rows(plan((None, 1)), str(path)) and (None, 9) not in back()
