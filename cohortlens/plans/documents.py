@@ -1,190 +1,29 @@
 """Plan grids in HTML to plan rows (`schemas.PLAN_ROWS`) and footnotes.
 
-Pages come as (major, html), one page per major. Markup is cut with regular
-expressions inside the scan; only short typed rows are shuffled, by page, to
-carry labels and group numbers down the document. Markup that does not match
-yields no rows.
+Pages come as (major, html), one page per major. A page is cut and its rows are
+numbered in one walk inside the scan (`grid_pages`), so nothing is shuffled. Markup
+that does not match yields no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..codes import BLOCK, COURSE, HEADER, OPTION, SUBTOTAL, TOTAL
-from ..functions.elements import first_element, list_items
-from ..functions.text import (
-    attribute, course_code, hours, inner, query_value, squeeze, sup_marks, text_of, without_sup,
-)
+from ..functions.elements import list_items
+from ..functions.text import text_of
 from ..schemas import PLAN_ROWS
-
-UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-
-
-def with_class(tag: str, name: str) -> str:
-    """Pattern of an open tag with a class, in quotes of either kind or none."""
-    values = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in "\"'"]
-    return rf"""(?is)<{tag}\b[^>]*\sclass\s*=\s*(?:{values[0]}|{values[1]}|{name}(?=[\s>]))[^>]*>"""
-
-
-GRID_OPEN = with_class("table", "sc_plangrid")
-# An element ends at its end tag, or where the next of its kind or its parent's end is.
-ROW = r"(?is)<tr\b[^>]*>.*?(?=</tr>|<tr\b|$)"
-CELL = r"(?is)<td\b[^>]*>.*?(?=</td>|<td\b|<th\b|$)"
-HEAD_CELL = r"(?is)<th\b[^>]*>.*?(?=</th>|<t[hd]\b|$)"
-INDENT_OPEN = with_class("div", "blockindent")
-LINK = r"(?is)<a\b([^>]*)>(.*?)(?:</a>|$)"
-NOTES_OPEN = with_class("dl", "sc_footnotes")
+from . import grid_pages
+from .patterns import INDENT_OPEN, LINK, NOTES_OPEN, UNSEEN  # noqa: F401 - all names of the markup are had from here
 
 
 def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
-def _grid_markup(page: Column) -> Column:
-    """What lies inside the plan grids of a page.
-
-    The page is cut before every table tag and the depth of tables is carried
-    along. A table inside a cell is text of that cell: its rows and cells are no
-    rows and cells of the grid. A grid that is never closed ends with the page.
-    """
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(state: Column, piece: Column) -> Column:
-        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
-        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
-        at = (
-            F.when(opens & (state["at"] == 0) & piece.rlike("^" + GRID_OPEN), depth)
-            .when(closes & (state["at"] > 0) & (state["depth"] == state["at"]), 0)
-            .otherwise(state["at"])
-        )
-        body = F.regexp_replace(piece, r"(?is)^</?table\b[^>]*>", "")
-        inner_text = F.regexp_replace(body, r"(?is)</?t(?:r|d|h|body|head|foot)\b[^>]*>", "<br>")
-        seen = F.when((at > 0) & (depth == at), body).when((at > 0) & (depth > at), F.concat(F.lit("<br>"), inner_text))
-        out = F.when(seen.isNotNull(), F.concat(state["out"], F.array(seen))).otherwise(state["out"])
-        return F.struct(depth.cast("int").alias("depth"), at.cast("int").alias("at"), out.alias("out"))
-
-    pieces = F.split(page, r"(?i)(?=</?table\b)")
-    return F.array_join(F.aggregate(pieces, start, step, lambda state: state["out"]), "")
-
-
-def table_rows(pages: DataFrame) -> DataFrame:
-    """(major, pos, tr): rows of all plan grids of a page, in document order."""
-    seen = F.regexp_replace("html", UNSEEN, "")
-    return pages.select("major", F.posexplode(all_matches(_grid_markup(seen), ROW)).alias("pos", "tr"))
-
-
-def _first_head(tr: Column) -> Column:
-    return text_of(F.get(all_matches(tr, HEAD_CELL), F.lit(0)))
-
-
-def _last(cells: Column) -> Column:
-    return F.try_element_at(cells, F.lit(-1))
-
-
-def typed_rows(rows: DataFrame) -> DataFrame:
-    """One typed row per table row; `kind` is year, term, a row type, or null for rows without cells.
-
-    The order of the cases matters: a year, term or sum row is known by its
-    class, a block row by its span, and only then an option by its indent.
-    """
-    open_tag = r"(?s)^<[^>]*>"
-    # Each step names what the next one uses more than once, so it is cut once.
-    cut = rows.withColumns({
-        "classes": F.split(F.coalesce(attribute(F.regexp_extract("tr", open_tag, 0), "class"), F.lit("")), r"\s+"),
-        "cells": all_matches(F.col("tr"), CELL),
-    })
-    n = F.size("cells")
-    cut = cut.select(
-        "major", "pos", "tr", "classes", n.alias("n"),
-        F.get("cells", F.lit(0)).alias("first"),
-        inner(F.get("cells", F.lit(0))).alias("code_td"),
-        inner(F.get("cells", F.lit(1))).alias("title_td"),
-        inner(_last(F.col("cells"))).alias("hours_td"),
-    )
-    cut = cut.withColumns({
-        "hours_raw": F.coalesce(text_of("hours_td"), F.lit("")),
-        "plain": without_sup("code_td"),
-        "span": F.when(F.contains("first", F.lit("colspan")), attribute(F.regexp_extract("first", open_tag, 0), "colspan")),
-        "indent": F.when(F.contains("code_td", F.lit("blockindent")), first_element(F.col("code_td"), "div", INDENT_OPEN)),
-    })
-
-    def marked(name: str) -> Column:
-        return F.array_contains("classes", name)
-
-    is_block = (F.coalesce("span", F.lit("")) == "2") | (F.col("n") == 2)
-    is_option = F.col("indent").isNotNull()
-    kind = (
-        F.when(marked("plangridyear"), "year")
-        .when(marked("plangridterm"), "term")
-        .when(marked("plangridsum"), SUBTOTAL)
-        .when(marked("plangridtotal"), TOTAL)
-        .when(F.col("n") == 0, None)
-        .when(is_block & F.lower("plain").startswith("select"), HEADER)
-        .when(is_block, BLOCK)
-        .when(is_option, OPTION)
-        .otherwise(COURSE)
-    )
-    cut = cut.withColumns({"kind": kind, "inside": F.coalesce("indent", "code_td")})
-    listed, block = F.col("kind").isin(COURSE, OPTION), F.col("kind").isin(HEADER, BLOCK)
-    cut = cut.withColumn("link", F.when(listed & F.contains("inside", F.lit("<")), F.get(all_matches(F.col("inside"), LINK), F.lit(0))))
-    shown = F.coalesce(F.regexp_extract("link", LINK, 2), F.col("code_td"))
-    cut = cut.withColumns({
-        "label": F.when(F.col("kind").isin("year", "term"), _first_head(F.col("tr"))),
-        "code_raw": F.when(listed, squeeze(text_of(shown))),
-        "code": query_value(attribute(F.regexp_extract("link", LINK, 1), "href"), "P"),
-    })
-    cut = cut.withColumn("code", F.coalesce("code", "code_raw"))
-    subject, number = course_code("code")
-    title = (
-        F.when(block, F.col("plain"))
-        .when(listed, F.coalesce(without_sup("title_td"), F.lit("")))
-        .when(F.col("kind") == SUBTOTAL, "Semester Credit Hours")
-        .when(F.col("kind") == TOTAL, F.coalesce(text_of("title_td"), F.lit("Total")))
-    )
-    marks = F.when(block, sup_marks("code_td")).when(listed, sup_marks("title_td"))
-    low, high = hours("hours_raw")
-    cut = cut.withColumns({"low": low, "high": high})
-    return cut.select(
-        "major", "pos", "kind", "label", subject.alias("course_subject"), number.alias("course_number"),
-        F.col("code_raw").alias("course_code_raw"), title.alias("title"), marks.alias("footnote_refs"),
-        F.col("hours_raw").alias("credit_hours_raw"), F.col("low").alias("credit_hours_min"),
-        F.col("high").alias("credit_hours_max"), ((F.col("low") + F.col("high")) / 2).alias("credit_hours"),
-    )
-
-
-def number_rows(rows: DataFrame) -> DataFrame:
-    """Carry year and term down the page, number the rows and the choice groups.
-
-    A choice group starts at each block row and ends at the next term row.
-    """
-    page = Window.partitionBy("major").orderBy("pos")
-    kind = F.col("kind")
-    is_block = F.coalesce(kind.isin(HEADER, BLOCK).cast("int"), F.lit(0))
-    emitted = F.coalesce((~kind.isin("year", "term")).cast("int"), F.lit(0))
-    carried = rows.select(
-        "*",
-        F.last(F.when(kind == "year", F.col("label")), ignorenulls=True).over(page).alias("year_label"),
-        F.last(F.when(kind == "term", F.col("label")), ignorenulls=True).over(page).alias("term"),
-        # Rows without cells are counted nowhere and go only after the shuffle:
-        # filtering them earlier would cut the markup a second time.
-        (F.sum(emitted).over(page) - 1).cast("int").alias("row_order"),
-        F.sum(is_block).over(page).alias("blocks"),
-        F.sum(F.when(kind == "term", 1).otherwise(0)).over(page).alias("term_no"),
-    )
-    scope = Window.partitionBy("major", "term_no").orderBy("pos")
-    own = F.max(F.when(is_block == 1, F.col("blocks"))).over(scope)
-    numbered = carried.withColumn("choice_group_id", F.when(kind.isin(HEADER, BLOCK, OPTION), own))
-    return (
-        numbered.where(kind.isNotNull() & ~kind.isin("year", "term"))
-        .withColumn("row_type", kind)
-        .select([F.col(f.name).cast(f.dataType).alias(f.name) for f in PLAN_ROWS])
-    )
-
-
 def parse_plans(pages: DataFrame) -> DataFrame:
     """(major, html) to plan rows of all pages."""
-    return number_rows(typed_rows(table_rows(pages)))
+    return pages.select(F.col("major").cast("string"), F.col("html").cast("string")).mapInArrow(grid_pages.parse, PLAN_ROWS)
 
 
 def pages_without_rows(pages: DataFrame, plan: DataFrame) -> DataFrame:

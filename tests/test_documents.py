@@ -111,3 +111,34 @@ def test_markup_as_browsers_take_it(spark):
         assert found[name] == found["plain"], name
     titles = documents.PLAN_ROWS.fieldNames().index("title") - 1
     assert [r[titles].replace(" ", "") for r in found["nested"]] == [r[titles].replace(" ", "") for r in found["plain"]]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_are_numbered_without_a_shuffle(spark):
+    plan = _plan(documents.parse_plans(pages(spark, A=PAGE)))
+    assert "MapInArrow" in plan and "Window" not in plan and "Generate" not in plan
+
+
+def test_pages_of_one_name_are_numbered_apart(spark):
+    """Two pages with the same major do not run into each other."""
+    source = spark.createDataFrame([("A", PAGE), ("A", PAGE), (None, PAGE)], "major string, html string")
+    found = documents.parse_plans(source).where("major = 'A' OR major IS NULL").select("row_order", "choice_group_id").collect()
+    assert sorted(r.row_order for r in found) == sorted(list(range(5)) * 3)
+    assert {r.choice_group_id for r in found} == {None, 1}
+
+
+def test_odd_markup(spark):
+    """What the column functions gave: letters of all scripts in names of tags, bad references and escapes, rows that never end."""
+    html = (
+        "<TABLE class=sc_plangrid><tr><td>a<tdß 1></td><td>3</td><tr class=plangridsum><td><td>x<td>2 - 3.5"
+        "<tr><td><a href='?q=1&amp;P=CSCE+222%zz'>A&nbsp;B &bogus;</a></td><td>&#xD800;<SUP>2<b>x</b></SUP></td><td>&#49;</td>"
+    )
+    found = documents.parse_plans(pages(spark, A=html)).orderBy("row_order").collect()
+    assert [(r.row_type, r.course_code_raw, r.title, r.footnote_refs, r.credit_hours_raw, r.credit_hours) for r in found] == [
+        ("requirement_block", None, "a", None, "3", 3.0),
+        ("term_subtotal", None, "Semester Credit Hours", None, "2 - 3.5", 2.75),
+        ("course", "A B &bogus;", "�", "2x", "1", 1.0),
+    ]
