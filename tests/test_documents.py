@@ -142,3 +142,12 @@ def test_odd_markup(spark):
         ("term_subtotal", None, "Semester Credit Hours", None, "2 - 3.5", 2.75),
         ("course", "A B &bogus;", "�", "2x", "1", 1.0),
     ]
+
+
+def test_counts_preview_and_empty_pages_cut_no_cell_in_columns(spark):
+    """What is made from the rows reads the walk alone."""
+    source = pages(spark, A=PAGE, B="<p>")
+    plan = documents.parse_plans(source)
+    for df in (documents.plan_counts(plan), documents.preview(plan, 2), documents.pages_without_rows(source, plan)):
+        text = _plan(df)
+        assert "MapInArrow" in text and "Window" not in text and "regexp_extract_all" not in text
